@@ -6,7 +6,7 @@ import importlib
 
 from martloom.catalog import registry
 
-FAMILIES = ("marts",)
+FAMILIES = ("marts", "kpis")
 
 
 def _load() -> None:

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def ratio(top: Column, bottom: Column, scale: int = 2, factor: int = 1) -> Column:
-    """Rounded ``top / bottom * factor``; NULL where the bottom is zero."""
-    exact = top.cast("decimal(28,4)") * factor / F.nullif(bottom.cast("decimal(24,4)"), F.lit(0).cast("decimal(24,4)"))
-    return F.round(exact, scale)
+    """Rounded ``top / bottom * factor``; NULL where the bottom is zero.
+
+    The types leave the quotient 14 or more decimals, so it is rounded only once.
+    """
+    divisor = bottom.cast("decimal(18,2)")
+    quotient = top.cast("decimal(20,2)") / F.nullif(divisor, F.lit(0).cast("decimal(18,2)"))
+    return F.round(quotient * factor if factor != 1 else quotient, scale)
 
 
 def pct(top: Column, bottom: Column) -> Column:
