@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import dates as D
-from martloom.functions.measures import count_if, mean, pct, ratio
+from martloom.functions.measures import average, count_if, mean, pct, ratio
+from martloom.operators.keys import small_side
 from martloom.operators import periods
 
 
@@ -27,9 +28,9 @@ def _by_line(fact: DataFrame, store: DataFrame | None = None, store_cols: Sequen
              product: DataFrame | None = None, product_cols: Sequence[str] = ()) -> DataFrame:
     """Star join restricted to the named dimension columns."""
     if store is not None:
-        fact = fact.join(store.select("store_key", *store_cols), "store_key")
+        fact = fact.join(small_side(store.select("store_key", *store_cols)), "store_key")
     if product is not None:
-        fact = fact.join(product.select("product_key", *product_cols), "product_key")
+        fact = fact.join(small_side(product.select("product_key", *product_cols)), "product_key")
     return fact
 
 
@@ -49,8 +50,8 @@ def daily_sales_summary(fact: DataFrame, calendar: DataFrame, store: DataFrame,
             F.sum("gross_amount").alias("gross_revenue"),
             F.sum("discount_amount").alias("total_discounts"),
             F.sum("net_amount").alias("net_revenue"),
-            F.avg("net_amount").alias("avg_order_value"),
-            F.avg("discount_percent").alias("avg_discount_pct"),
+            average(F.col("net_amount")).alias("avg_order_value"),
+            average(F.col("discount_percent")).alias("avg_discount_pct"),
         )
     )
     return _on_calendar(by_day, calendar, {
@@ -70,7 +71,7 @@ def daily_sales_by_store(fact: DataFrame, calendar: DataFrame, store: DataFrame,
             F.sum("gross_amount").alias("gross_revenue"),
             F.sum("discount_amount").alias("total_discounts"),
             F.sum("net_amount").alias("net_revenue"),
-            F.avg("net_amount").alias("avg_order_value"),
+            average(F.col("net_amount")).alias("avg_order_value"),
         )
     )
     return _on_calendar(by_day, calendar, {
@@ -85,7 +86,7 @@ def daily_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product:
     keys = ["region", "store_type", "product_category", "customer_segment"]
     by_day = (
         _by_line(fact, store, ["region", "store_type"], product, ["category"])
-        .join(segments, "customer_key", "left")
+        .join(small_side(segments), "customer_key", "left")
         .withColumnRenamed("category", "product_category")
         .groupBy("date_key", *keys)
         .agg(
@@ -136,7 +137,7 @@ def customer_activity(fact: DataFrame, calendar: DataFrame, keys: Sequence[str]
             _distinct("order_id").alias("total_orders"),
             F.sum("quantity").alias("total_items_purchased"),
             F.sum("net_amount").alias("lifetime_value"),
-            F.avg("net_amount").alias("avg_order_value"),
+            average(F.col("net_amount")).alias("avg_order_value"),
             F.min("full_date").alias("first_purchase_date"),
             F.max("full_date").alias("last_purchase_date"),
         )
@@ -272,7 +273,7 @@ def fact_quality_summary(fact: DataFrame) -> DataFrame:
         F.min("transaction_timestamp").alias("earliest_transaction"),
         F.max("transaction_timestamp").alias("latest_transaction"),
         F.sum("net_amount").alias("total_revenue"),
-        F.avg("net_amount").alias("avg_order_value"),
+        average(F.col("net_amount")).alias("avg_order_value"),
     )
 
 

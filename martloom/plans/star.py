@@ -10,6 +10,7 @@ Spark joins by shuffle and AQE splits skewed partitions.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from martloom.functions import bands
 from martloom.functions import dates as D
 from martloom.functions.hashing import record_hash
 from martloom.operators import calendar
+from martloom.schemas import TABLES
 
 CALENDAR_START = dt.date(1995, 1, 1)
 CALENDAR_DAYS = 2557
@@ -29,6 +31,10 @@ def money(value: Column, precision: int = 12) -> Column:
     return value.cast(f"decimal({precision},2)")
 
 
+def from_cents(cents: Column) -> Column:
+    return (cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")
+
+
 class Star:
     """Lazy views of one data folder."""
 
@@ -36,7 +42,10 @@ class Star:
         self.spark, self.folder, self.as_of = spark, folder, as_of
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read
+        if name in TABLES:
+            reader = reader.schema(TABLES[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -51,24 +60,21 @@ class Star:
 
     @cached_property
     def fact_lines(self) -> DataFrame:
-        gross = money(F.col("l_extendedprice"))
-        rate = (F.col("l_discount") + 0.0).cast("decimal(5,2)")
-        return (
-            self.table("lineitem")
-            .select(
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_linenumber").alias("order_line_id"),
-                F.col("l_partkey").alias("product_key"),
-                F.col("l_suppkey").alias("store_key"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                gross.alias("gross_amount"),
-                rate.alias("rate"),
-                F.col("l_shipdate").alias("load_timestamp"),
-            )
-            .withColumn("discount_percent", (F.col("rate") * 100).cast("decimal(5,2)"))
-            .withColumn("discount_amount", money(F.round(F.col("gross_amount") * F.col("rate"), 2)))
-            .withColumn("net_amount", money(F.col("gross_amount") - F.col("discount_amount")))
-            .drop("rate")
+        cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+        percent = F.floor(F.col("l_discount") * 100 + 0.5)
+        # Whole cents keep the row work in long arithmetic; half a cent rounds up.
+        cut = F.floor((cents * percent + 50) / 100)
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_linenumber").alias("order_line_id"),
+            F.col("l_partkey").alias("product_key"),
+            F.col("l_suppkey").alias("store_key"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            from_cents(cents).alias("gross_amount"),
+            percent.cast("decimal(5,2)").alias("discount_percent"),
+            from_cents(cut).alias("discount_amount"),
+            from_cents(cents - cut).alias("net_amount"),
+            F.col("l_shipdate").alias("load_timestamp"),
         )
 
     @cached_property
