@@ -6,7 +6,7 @@ import importlib
 
 from martloom.catalog import registry
 
-FAMILIES = ("marts", "kpis")
+FAMILIES = ("marts", "kpis", "relational", "functions")
 
 
 def _load() -> None:
