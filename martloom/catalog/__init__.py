@@ -6,7 +6,7 @@ import importlib
 
 from martloom.catalog import registry
 
-FAMILIES = ("marts", "kpis", "relational", "functions")
+FAMILIES = ("marts", "kpis", "relational", "functions", "quality")
 
 
 def _load() -> None:

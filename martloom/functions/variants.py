@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 
 def safe_json(text: Column) -> Column:
-    """Parsed document, or NULL if the text is not valid JSON."""
-    return F.try_parse_json(text)
+    """Parsed document, or NULL if the text is not one valid JSON value.
+
+    The parser stops after the first value; a closing element after the text
+    makes anything that follows that value show.
+    """
+    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]")))
+    alone = (F.try_variant_get(framed, "$[1]", "int") == 0) & F.try_variant_get(framed, "$[2]", "variant").isNull()
+    return F.when(alone, F.try_variant_get(framed, "$[0]", "variant"))
 
 
 def path(document: Column, where: str, to: str = "string") -> Column:
