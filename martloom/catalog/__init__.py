@@ -6,7 +6,7 @@ import importlib
 
 from martloom.catalog import registry
 
-FAMILIES = ("marts", "kpis", "relational", "functions", "quality", "history")
+FAMILIES = ("marts", "kpis", "relational", "functions", "quality", "history", "files")
 
 
 def _load() -> None:
