@@ -118,3 +118,44 @@ def clustering_report(spark: SparkSession, path: str, column: str) -> DataFrame:
     overlaps = F.col("started_by_end") - F.col("ended_before_start") - 1
     return per_file.agg(F.count("*").alias("files"), F.round(F.avg(overlaps), 2).alias("avg_overlaps")).withColumn(
         "avg_depth", depth.agg(F.round(F.avg("depth"), 2)).scalar())
+
+
+# Versions numbered by a batch, for streams: batch n builds on what was committed before n,
+# so a batch that is run again gives the same version again.
+
+BATCH_COMMIT_SCHEMA = "version bigint, part string, path string"
+
+
+def _batch_commits(spark: SparkSession, base: str, before: int | None) -> DataFrame:
+    if not _exists(spark, f"{base}/{COMMITS}"):
+        return spark.createDataFrame([], BATCH_COMMIT_SCHEMA)
+    known = spark.read.schema(BATCH_COMMIT_SCHEMA).json(f"{base}/{COMMITS}/batch=*")
+    return known.filter(F.col("version") < before) if before is not None else known
+
+
+def put_batch(df: DataFrame, base: str, version: int, part_column: str | None = None) -> None:
+    """Writes batch ``version``; with ``part_column`` only the parts in ``df`` get a new snapshot."""
+    spark, path = df.sparkSession, f"{base}/data/batch={version}"
+    if part_column is None:
+        df.write.mode("overwrite").parquet(path)
+        rows = [(version, "all", path)]
+    else:
+        copy = df.withColumn("_part", F.col(part_column).cast("string"))
+        copy.repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(path)
+        parts = [r["_part"] for r in copy.select("_part").distinct().collect()]
+        rows = [(version, str(p), f"{path}/_part={p}") for p in parts]
+    spark.createDataFrame(rows, BATCH_COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").json(
+        f"{base}/{COMMITS}/batch={version}")
+
+
+def get_batch(spark: SparkSession, base: str, schema: str | None = None, before: int | None = None,
+              parts: Sequence[str] | None = None) -> DataFrame | None:
+    """The newest snapshot of every part, or None if nothing is committed."""
+    known = _batch_commits(spark, base, before)
+    if parts is not None:
+        known = known.filter(F.col("part").isin(list(parts)))
+    newest = known.groupBy("part").agg(F.max_by("path", "version").alias("path"))
+    paths = [r["path"] for r in newest.collect()]
+    if not paths:
+        return None
+    return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
