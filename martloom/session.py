@@ -10,9 +10,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
-                  app: str = "martloom") -> SparkSession:
+                  app: str = "martloom", settings: dict[str, str] | None = None) -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -22,8 +22,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
