@@ -1,7 +1,8 @@
 """Exact interpolated percentiles without gathering a group in one task.
 
-A sketch brackets each wanted rank; only values inside the bracket are ordered,
-about ``SLACK`` of the rows, and equal values are counted before that.
+A sketch brackets each wanted rank, about ``SLACK`` of the rows on either side.
+The bracket is cut into ``SLOTS`` equal steps, and only the values of the one or
+two steps that hold the rank are ordered. Equal values are counted first.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 SLACK = 10 / ACCURACY
+SLOTS = 1024
 
 
 def exact_percentile(rows: DataFrame, keys: Sequence[str], value: str, fraction: float, out: str) -> DataFrame:
@@ -33,24 +35,35 @@ def exact_percentile(rows: DataFrame, keys: Sequence[str], value: str, fraction:
     else:
         tagged = counts.withColumn("_b", sketch.select("_b").scalar()).withColumn(
             "_total", sketch.select("_total").scalar())
-    # Ranks below the bracket are only counted; those inside are kept one row per distinct value.
-    position = F.when(F.col("_v") < F.col("_b")[0], 0).when(F.col("_v") > F.col("_b")[1], 2).otherwise(1)
-    parts = (
-        tagged.withColumn("_in", position).filter("_in < 2")
-        .groupBy(*keys, "_total", "_in", F.when(F.col("_in") == 1, F.col("_v")).alias("_v"))
-        .agg(F.sum("_n").alias("_n"))
-    )
-    upto = Window.partitionBy(*keys).orderBy("_in", "_v")
-    rank = F.lit(fraction) * (F.col("_total") - 1)
-    ranked = parts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_first", F.col("_end") - F.col("_n"))
-    floor, ceil = F.floor(rank), F.ceil(rank)
-    at = {
-        "_lo": (F.col("_first") <= floor) & (floor < F.col("_end")),
-        "_hi": (F.col("_first") <= ceil) & (ceil < F.col("_end")),
-    }
+    low_value, high_value = F.col("_b")[0].cast("double"), F.col("_b")[1].cast("double")
     number = F.col("_v").cast("double")
-    found = ranked.filter("_in = 1").groupBy(*keys).agg(
-        *[F.max(F.when(hit, number)).alias(name) for name, hit in at.items()],
+    step = F.least(F.floor((number - low_value) / (high_value - low_value) * SLOTS), F.lit(SLOTS - 1))
+    slot = F.when(F.col("_v") < F.col("_b")[0], -1).when(high_value > low_value, step).otherwise(0)
+    placed = tagged.filter(F.col("_v") <= F.col("_b")[1]).withColumn("_slot", slot.cast("int"))
+    rank = F.lit(fraction) * (F.col("_total") - 1)
+
+    def holds(wanted):
+        return (F.col("_first") <= wanted) & (wanted < F.col("_end"))
+
+    # At most SLOTS + 1 rows per group.
+    per_slot = placed.groupBy(*keys, "_total", "_slot").agg(F.sum("_n").alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy("_slot")
+    chosen = (
+        per_slot.withColumn("_end", F.sum("_n").over(upto)).withColumn("_first", F.col("_end") - F.col("_n"))
+        .filter(holds(F.floor(rank)) | holds(F.ceil(rank)))
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slot").alias("_s"), F.col("_first").alias("_before"))
+    )
+    same = F.col("_slot") == F.col("_s")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    within = Window.partitionBy(*keys, "_slot").orderBy("_v")
+    ranked = (
+        placed.join(chosen, same).withColumn("_end", F.col("_before") + F.sum("_n").over(within))
+        .withColumn("_first", F.col("_end") - F.col("_n"))
+    )
+    found = ranked.groupBy(*keys).agg(
+        F.max(F.when(holds(F.floor(rank)), number)).alias("_lo"),
+        F.max(F.when(holds(F.ceil(rank)), number)).alias("_hi"),
         F.max(rank - F.floor(rank)).alias("_part"),
     )
     return found.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias(out))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom.functions import casts, hashing
 from martloom.functions.variants import path as at
 from martloom.schemas import FILE_REGISTRY, LOAD_AUDIT, STORES
+from martloom.session import materialise
 from martloom.sources import files, sinks
 
 # The reference stores.
@@ -243,7 +244,8 @@ def incremental_load(spark: SparkSession, source: str, target: str, registry: st
     paths = [r["path"] for r in todo.select("path").orderBy("path").collect()]
     if not paths:
         return 0
-    marked = clean(read(spark, paths))
+    # Parsed once; the rows, the rejects and the history are read from the typed copy.
+    marked = materialise(clean(read(spark, paths)), "marked")
     good, rejected = apply_on_error(marked, policy)
     good.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
     rejected.write.mode("overwrite").parquet(f"{target}_rejected/batch={batch_id}")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 COMMITS = "_commits"
@@ -133,6 +133,11 @@ def _batch_commits(spark: SparkSession, base: str, before: int | None) -> DataFr
     return known.filter(F.col("version") < before) if before is not None else known
 
 
+def part_of(column: str) -> Column:
+    """Folder name of a part value."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("none"))
+
+
 def put_batch(df: DataFrame, base: str, version: int, part_column: str | None = None) -> None:
     """Writes batch ``version``; with ``part_column`` only the parts in ``df`` get a new snapshot."""
     spark, path = df.sparkSession, f"{base}/data/batch={version}"
@@ -140,9 +145,11 @@ def put_batch(df: DataFrame, base: str, version: int, part_column: str | None =
         df.write.mode("overwrite").parquet(path)
         rows = [(version, "all", path)]
     else:
-        copy = df.withColumn("_part", F.col(part_column).cast("string"))
+        copy = df.withColumn("_part", part_of(part_column))
         copy.repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(path)
-        parts = [r["_part"] for r in copy.select("_part").distinct().collect()]
+        # The folders written, not the rows again.
+        written = spark.read.schema("_part string").parquet(path)
+        parts = [r["_part"] for r in written.select("_part").distinct().collect()]
         rows = [(version, str(p), f"{path}/_part={p}") for p in parts]
     spark.createDataFrame(rows, BATCH_COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").json(
         f"{base}/{COMMITS}/batch={version}")

@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators import dimensions, facts
@@ -56,7 +55,7 @@ def keep_facts(rows: DataFrame, base: str, keys: Sequence[str], order: Sequence[
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = [str(r[0]) for r in batch.select(F.col(part).cast("string")).distinct().collect()]
+        touched = [r[0] for r in batch.select(sinks.part_of(part)).distinct().collect()]
         stored = sinks.get_batch(spark, base, before=batch_id, parts=touched)
         empty = batch.limit(0) if stored is None else stored
         merged = facts.upsert_late(empty.select(*batch.columns), batch, order, keys)
