@@ -46,13 +46,14 @@ def _(s):
   FROM dim_customer c LEFT JOIN fact_sales f ON c.customer_key = f.customer_key
     LEFT JOIN dim_date d ON f.date_key = d.date_key
   GROUP BY 1
-)
+), m AS (SELECT list_sort(list(CAST(v * 100 AS HUGEINT)) FILTER (v IS NOT NULL)) AS cents FROM t)
 SELECT COUNT(*) AS total_customers, COUNT(*) FILTER (o > 0) AS customers_with_purchases,
   ROUND(COUNT(*) FILTER (o > 0) / COUNT(*) * 100, 2) AS conversion_rate_pct,
   COUNT(*) FILTER (r <= 30) AS active_last_30d, COUNT(*) FILTER (r <= 90) AS active_last_90d,
   COUNT(*) FILTER (r > 180) AS churned_customers,
   ROUND(COUNT(*) FILTER (r <= 90) / NULLIF(COUNT(*) FILTER (o > 0), 0) * 100, 2) AS retention_rate_90d_pct,
-  {mean('v')} AS avg_customer_ltv, ROUND(CAST(MEDIAN(v) AS DOUBLE), 2) AS median_customer_ltv,
+  {mean('v')} AS avg_customer_ltv, (SELECT CAST((cents[(len(cents) + 1) // 2] + cents[len(cents) // 2 + 1] + 1) // 2 AS DOUBLE) / 100 FROM m)
+    AS median_customer_ltv,
   ROUND(AVG(o) FILTER (o > 0), 2) AS avg_orders_per_customer,
   ROUND(COUNT(*) FILTER (o > 1) / NULLIF(COUNT(*) FILTER (o > 0), 0) * 100, 2) AS repeat_purchase_rate_pct
 FROM t"""))

@@ -174,11 +174,12 @@ def _(s):
     return M.product_report(s.fact_lines, s.dim_product)
 
 
-@query("customer_pattern_report", star("""
+@query("customer_pattern_report", star(f"""
 SELECT customer_segment, loyalty_tier, COUNT(DISTINCT customer_key) AS customer_count,
   COUNT(DISTINCT order_id) AS total_orders, CAST(SUM(net_amount) AS DOUBLE) AS total_revenue,
-  ROUND(SUM(net_amount) / COUNT(DISTINCT customer_key), 2) AS revenue_per_customer,
-  ROUND(COUNT(DISTINCT order_id) / COUNT(DISTINCT customer_key), 2) AS orders_per_customer
+  {mean('net_amount', 2, 'COUNT(DISTINCT customer_key)')} AS revenue_per_customer,
+  CAST((COUNT(DISTINCT order_id) * 200 + COUNT(DISTINCT customer_key)) // (2 * COUNT(DISTINCT customer_key)) AS DOUBLE)
+    / 100 AS orders_per_customer
 FROM fact_sales JOIN dim_customer USING (customer_key) WHERE is_current GROUP BY ALL"""))
 def _(s):
     return M.customer_pattern_report(s.fact_sales, s.dim_customer)
