@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import mixing, packing, token_counts
+from martloom.llm import mixing, near_duplicates, packing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents")).drop("group")
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
