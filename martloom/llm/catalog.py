@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import mixing, near_duplicates, packing, token_counts
+from martloom.llm import mixing, near_duplicates, packing, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,50 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
     counted = token_counts.token_counts(docs, tokenizer("piece_bpe_32k.model"), drop_text=True)
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+OP10_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+facts AS (
+  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM lines),
+rules AS (
+  SELECT doc_id, line, len(w) AS words, length(array_to_string(w, '')) AS chars,
+         length(array_to_string(w, '')) - length(regexp_replace(array_to_string(w, ''), '[#*$%&|<>]', '', 'g')) AS symbols,
+         length(array_to_string(w, '')) - length(replace(array_to_string(w, ''), '!', '')) AS marks,
+         len(list_distinct(w)) AS different,
+         len(list_filter(range(2, len(w) + 1), lambda k: w[k] = w[k - 1])) AS again
+  FROM facts WHERE len(w) > 0),
+judged AS (
+  SELECT doc_id, chars, symbols >= 0.08 * chars OR (marks >= 3 AND marks >= 0.5 * words)
+         OR (words >= 8 AND (different < 0.35 * words OR again >= 0.3 * words))
+         OR (words <= 25 AND regexp_matches(line, 'PHRASES', 'i')) AS fails
+  FROM rules),
+lost AS (
+  SELECT doc_id, sum(chars) AS chars, sum(CASE WHEN fails THEN chars ELSE 0 END) AS gone FROM judged GROUP BY doc_id),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM rules GROUP BY doc_id),
+tokens AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, coalesce(text, '') AS text
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM tokens)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, v) > 1),
+spread AS (SELECT DISTINCT doc_id, i + k AS place FROM twice, range(0, 5) AS t(k)),
+repeats AS (SELECT doc_id, count(*) AS n FROM spread GROUP BY doc_id),
+counts AS (
+  SELECT t.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(gone / chars, 0) AS lost
+  FROM tokens t LEFT JOIN dups USING (doc_id) LEFT JOIN repeats r USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND lost <= 0.5 AS kept
+FROM counts""".replace("PHRASES", "|".join(quality_rules.BOILERPLATE))
+
+
+@query("op10_quality_rules", OP10_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality_rules.quality_rules(docs).drop("text", "clean_text", "lost")
