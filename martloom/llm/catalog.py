@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import mixing, near_duplicates, packing, quality_rules, token_counts
+from martloom.llm import licenses, mixing, near_duplicates, packing, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,42 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+OP3_SQL = r"""
+WITH t AS (
+  SELECT doc_id, ' ' || trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') || ' ' AS s
+  FROM documents),
+w AS (SELECT doc_id, s, CASE WHEN trim(s) = '' THEN [] ELSE string_split(trim(s), ' ') END AS w FROM t),
+phrases(p, label, k) AS (
+  VALUES ('under the mit license', 'mit', 4), ('apache license version 2', 'apache-2', 4), ('cc by nc', 'cc-by-nc', 3)),
+near AS (SELECT doc_id, w, p, label, k FROM w JOIN phrases ON contains(s, ' ' || p || ' ')),
+places AS (
+  SELECT doc_id, label, i - 1 AS place
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM near) WHERE array_to_string(w[i:i + k - 1], ' ') = p),
+base AS (
+  SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+  FROM places GROUP BY doc_id),
+templates(label, ws) AS (VALUES TEMPLATES),
+blocks AS (
+  SELECT doc_id, list_distinct(w[i + 1:i + 64]) AS b
+  FROM (SELECT *, unnest(range(0, greatest(len(w) - 33, 0) + 1, 32)) AS i FROM w WHERE len(w) > 0)),
+met AS (
+  SELECT doc_id, label, len(list_intersect(b, list_distinct(ws))) / len(list_distinct(ws)) AS c FROM blocks, templates),
+more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(c) AS c FROM met WHERE c >= 0.85 GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))),
+                ','), '') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(c, 0) END::DOUBLE AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)""".replace(
+    "TEMPLATES", ", ".join(f"('{a}', string_split('{b}', ' '))" for a, b in licenses.TEMPLATES))
+
+
+@query("op3_license_scan", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
 @query("op4_ngram_jaccard_join")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents")).drop("group")
