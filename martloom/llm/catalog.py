@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import licenses, mixing, near_duplicates, packing, quality_rules, token_counts
+from martloom.llm import licenses, mixing, near_duplicates, packing, quality_rules, token_counts, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+_ORACLES: dict[str, str | Callable[[], str]] = {}
 
 
 def tokenizer(name: str) -> str:
@@ -23,11 +23,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def query(name: str, oracle: str | None = None):
+def oracles() -> dict[str, str]:
+    return {name: sql if isinstance(sql, str) else sql() for name, sql in _ORACLES.items()}
+
+
+def query(name: str, oracle: str | Callable[[], str] | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = build
         if oracle is not None:
-            ORACLES[name] = oracle
+            _ORACLES[name] = oracle
         return build
 
     return register
@@ -125,6 +129,36 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op9_sql() -> str:
+    model = url_filters.default_model()
+    fits = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN ['{h}{p}', '{v}']"
+        for v, h, p in sorted(url_filters.RULES, key=lambda r: -len(r[1]) - len(r[2])))
+    return rf"""
+WITH r AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+g AS (
+  SELECT *, CASE {fits} END AS said, list_distinct(list_concat(
+         list_transform(range(1, length(host || path) - 1), lambda i: substr(host || path, i, 3)),
+         list_transform(range(1, length(host || path) - 2), lambda i: substr(host || path, i, 4)))) AS grams
+  FROM h),
+w AS (SELECT {list(model.weights)} AS w),
+s AS (
+  SELECT g.*, {model.bias} + coalesce(list_sum(list_transform(grams,
+         lambda x: w[('0x' || substr(md5(x), 1, 3))::INT + 1])), 0) AS score FROM g, w)
+SELECT page_id, host, path, said[1] AS rule,
+       coalesce(said[2], CASE WHEN score > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM s"""
+
+
+@query("op9_url_filters", op9_sql)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.url_verdicts(table(spark, folder, "pages").select("page_id", "url")).drop("url", "score")
+
+
 OP10_SQL = r"""
 WITH lines AS (
   SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),

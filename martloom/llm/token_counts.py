@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from martloom.llm.bpe import Transducer
 
 #: Characters of a chunk, and characters that are held at once.
-CHUNK, HELD = 512, 2_000_000
+CHUNK, HELD = 512, 1_000_000
 SPACE = "▁"
 
 
