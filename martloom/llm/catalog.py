@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import licenses, mixing, near_duplicates, packing, quality_rules, token_counts, topk_search, url_filters
+from martloom.llm import licenses, mixing, near_duplicates, packing, quality_rules, token_counts, topk_search, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str | Callable[[], str]] = {}
@@ -121,6 +121,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents")).drop("group")
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 OP6_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings

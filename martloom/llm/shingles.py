@@ -39,20 +39,26 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_places(data: np.ndarray, starts: np.ndarray, parts: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin in texts that lie one after the other, and which bytes part words (``parts`` of 256)."""
+    blank = parts[data]
+    begins = ~blank
+    if len(begins):
+        begins[1:] &= blank[:-1]
+        inner = starts[:-1][starts[:-1] < len(data)]
+        begins[inner] = ~blank[inner]
+    return np.flatnonzero(begins), blank
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True,
+                parts: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
     """A hash for every word of texts that lie one after the other, and the number of words of each text.
 
     ``starts``: where each text begins, and where the last one ends. A-Z are lower-cased if asked for.
     """
     first, last = int(starts[0]), int(starts[-1])
     data, starts = data[first:last], starts - first
-    blank = _BLANK[data]
-    begins = ~blank
-    if len(begins):
-        begins[1:] &= blank[:-1]
-        inner = starts[:-1][starts[:-1] < len(data)]
-        begins[inner] = ~blank[inner]
-    word_at = np.flatnonzero(begins)
+    word_at, blank = word_places(data, starts, parts)
     if not len(word_at):
         return np.zeros(0, np.uint64), np.zeros(len(starts) - 1, np.int64)
     at = np.flatnonzero(~blank)
@@ -128,3 +134,23 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]
                 if not keep.all():
                     own = own[keep]
             yield a + i, own
+
+
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, sizes: range,
+                  parts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text of each word, hash of its first bytes), for the whole words and then for every size, of words as long."""
+    words, counts = word_hashes(data, starts, True, parts)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    yield owner, mixed(words, 40)
+    first = int(starts[0])
+    data, starts = data[first:int(starts[-1])], starts - first
+    at, blank = word_places(data, starts, parts)
+    value = np.zeros(len(at), np.uint64)
+    stop = starts[1:][owner] if len(at) else np.zeros(0, np.int64)
+    for k in range(sizes.stop - 1):
+        live = at + k < stop
+        live[live] = ~blank[at[live] + k]
+        at, value, owner, stop = at[live], value[live], owner[live], stop[live]
+        value = value + _LOWER[data[at + k]] * _NEAR_POWERS[k]
+        if k + 1 in sizes:
+            yield owner, mixed(value, 40 + k + 1)
