@@ -17,8 +17,8 @@ SAMPLE = 3000
 #: Features looked at, features chosen, and documents that a feature must add, at least as a share of the sample.
 LOOKED_AT, CHOSEN, LEAST_GAIN, GAIN_SHARE = 4000, 96, 2, 0.002
 PRECISION = 0.9
-#: Bytes of a word's beginning that a stem has.
-STEMS = range(3, 9)
+#: Bytes of a word's beginning that a stem has, and how often it must stand in a text for voters of rising levels.
+STEMS, LEVELS = range(3, 9), 3
 THRESHOLD = 0.3
 #: A lexicon of plain insults, each word a voter.
 INSULTS = ("idiot", "idiots", "moron", "morons", "stupid", "dumb", "imbecile", "loser", "losers", "trash", "garbage", "scum",
@@ -50,75 +50,90 @@ def training_rows(labels: DataFrame, key: str, label: str, sample: int = SAMPLE)
 
 
 def feature_counts(sample: DataFrame) -> DataFrame:
-    """(feature, toxic, clean): in how many sampled texts of each label a word or stem stands."""
+    """(feature, level, toxic, clean): in how many sampled texts of each label a word or stem stands ``level`` times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, _, data, starts in text_parts(batch.column(1)):
-                seen = []
-                for owner, value in prefix_hashes(data, starts, STEMS, _PARTS):
-                    seen.append(np.unique(np.stack([value, (owner + a).astype(np.uint64)]), axis=1))
-                pairs = np.concatenate(seen, axis=1)
-                value, inverse = np.unique(pairs[0], return_inverse=True)
-                toxic = np.bincount(inverse, label[pairs[1].astype(np.int64)], len(value)).astype(np.int64)
-                total = np.bincount(inverse, minlength=len(value))
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(toxic), pa.array(total - toxic)],
-                                                 ["feature", "toxic", "clean"])
-
-    found = sample.select("toxic", "text").mapInArrow(run, "feature long, toxic long, clean long")
-    return found.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+                owners, values = (np.concatenate(x) for x in zip(*prefix_hashes(data, starts, STEMS, _PARTS)))
+                order = np.lexsort((owners, values))
+                owners, values = owners[order], values[order]
+                new = np.append(True, (values[1:] != values[:-1]) | (owners[1:] != owners[:-1]))[:len(values)]
+                times = np.diff(np.append(np.flatnonzero(new), len(values)))
+                owners, values = owners[new], values[new]
+                for level in range(1, LEVELS + 1):
+                    enough = times >= level
+                    value, inverse = np.unique(values[enough], return_inverse=True)
+                    toxic = np.bincount(inverse, label[owners[enough] + a], len(value)).astype(np.int64)
+                    total = np.bincount(inverse, minlength=len(value))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(value.view(np.int64)), pa.array(np.full(len(value), level)), pa.array(toxic),
+                         pa.array(total - toxic)], ["feature", "level", "toxic", "clean"])
+
+    found = sample.select("toxic", "text").mapInArrow(run, "feature long, level long, toxic long, clean long")
+    return found.groupBy("feature", "level").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 class Lookup:
-    """Numbers of known hashes."""
+    """Numbers of known features: a hash, and how often it must stand in a text."""
 
-    def __init__(self, hashes: np.ndarray):
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
+    def __init__(self, hashes: np.ndarray, levels: np.ndarray):
+        order = np.lexsort((levels, hashes))
+        self.hashes, first = np.unique(hashes[order], return_index=True)
+        self.first = np.append(first, len(order))
+        self.order, self.levels = order, levels[order]
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.hashes >> np.uint64(48)).astype(np.int64)] = True
 
     def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places in ``value``, numbers) of those that are known."""
+        """(places in ``value``, hash numbers) of those that are known."""
         at = np.flatnonzero(self.maybe[(value >> np.uint64(48)).astype(np.int64)])
         if not len(at) or not len(self.hashes):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         place = np.searchsorted(self.hashes, value[at]).clip(max=len(self.hashes) - 1)
         hit = self.hashes[place] == value[at]
-        return at[hit], self.order[place[hit]]
+        return at[hit], place[hit]
+
+    def fired(self, rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Sorted row << 32 | feature of the features that stand often enough, from (row, hash) of every place."""
+        pairs, times = np.unique(rows.astype(np.int64) << 32 | hashes.astype(np.int64), return_counts=True)
+        rows, hashes = pairs >> 32, pairs & 0xFFFFFFFF
+        each = self.first[hashes + 1] - self.first[hashes]
+        at = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each) + np.repeat(self.first[hashes], each)
+        enough = np.repeat(times, each) >= self.levels[at]
+        return np.sort(np.repeat(rows, each)[enough] << 32 | self.order[at[enough]])
 
 
-def _found(column: pa.Array, lookup: Lookup) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, last row, rows, numbers, bytes, starts): which known features stand in which text, each once."""
+def _found(column: pa.Array, lookup: Lookup) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, last row, sorted row << 32 | feature, bytes, starts): which known features stand in which text."""
     for a, b, data, starts in text_parts(column):
-        rows, numbers = [], []
+        rows, hashes = [], []
         for owner, value in prefix_hashes(data, starts, STEMS, _PARTS):
             at, number = lookup.find(value)
             rows.append(owner[at])
-            numbers.append(number)
-        pairs = np.unique(np.concatenate(rows).astype(np.int64) << 32 | np.concatenate(numbers).astype(np.int64))
-        yield a, b, pairs >> 32, pairs & 0xFFFFFFFF, data, starts
+            hashes.append(number)
+        yield a, b, lookup.fired(np.concatenate(rows), np.concatenate(hashes)), data, starts
 
 
-def learn_lexicon(sample: DataFrame) -> np.ndarray:
-    """Hashes of words and stems that mark toxic texts: each adds the most sampled toxic texts not marked yet.
+def learn_lexicon(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and levels of words and stems that mark toxic texts: each adds the most sampled toxic texts not marked yet.
 
     A feature is looked at if nearly all sampled texts that hold it are toxic. The sample bounds all that is gathered.
     """
     looked = feature_counts(sample).filter(
         (F.col("toxic") >= LEAST_GAIN) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean"))))
-    top = looked.orderBy(F.col("toxic").desc(), "clean", "feature").limit(LOOKED_AT).collect()
-    if not top:
-        return np.zeros(0, np.uint64)
+    top = looked.orderBy(F.col("toxic").desc(), "clean", "level", "feature").limit(LOOKED_AT).collect()
     features = np.array([r["feature"] for r in top], np.int64).view(np.uint64)
-    clean = np.array([r["clean"] for r in top])
-    lookup = Lookup(features)
+    levels, clean = np.array([r["level"] for r in top], np.int64), np.array([r["clean"] for r in top])
+    if not top:
+        return features, levels
+    lookup = Lookup(features, levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, rows, numbers, _, _ in _found(batch.column(0), lookup):
+            for a, b, pairs, _, _ in _found(batch.column(0), lookup):
                 bits = np.zeros((b - a, len(features)), bool)
-                bits[rows, numbers] = True
+                bits[pairs >> 32, pairs & 0xFFFFFFFF] = True
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], ["bits"])
 
     held = sample.filter("toxic = 1").select("text").mapInArrow(run, "bits binary").collect()
@@ -127,44 +142,45 @@ def learn_lexicon(sample: DataFrame) -> np.ndarray:
     least = max(LEAST_GAIN, GAIN_SHARE * len(stands))
     while len(chosen) < CHOSEN:
         gain = stands[left].sum(0) - clean
-        best = int(np.lexsort((np.arange(len(gain)), -stands.sum(0), -gain))[0])
+        best = int(np.lexsort((np.arange(len(gain)), levels, -stands.sum(0), -gain))[0])
         if gain[best] < least:
             break
         chosen.append(best)
         left &= ~stands[:, best]
-    return features[chosen]
+    return features[chosen], levels[chosen]
 
 
-def lexicon(sample: DataFrame) -> np.ndarray:
-    """The insults' hashes, then the learned ones."""
+def lexicon(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The insults' hashes and levels, then the learned ones."""
     words = "\n".join(INSULTS).encode()
     starts = np.cumsum([0, *(len(w) + 1 for w in INSULTS)])
     starts[-1] -= 1
     fixed = next(iter(prefix_hashes(np.frombuffer(words, np.uint8), starts, STEMS, _PARTS)))[1]
-    learned = learn_lexicon(sample)
-    return np.concatenate([fixed, learned[~np.isin(learned, fixed)]])
+    hashes, levels = learn_lexicon(sample)
+    new = ~(np.isin(hashes, fixed) & (levels == 1))
+    return np.concatenate([fixed, hashes[new]]), np.concatenate([np.ones(len(fixed), np.int64), levels[new]])
 
 
-def votes(docs: DataFrame, words: np.ndarray, text: str = "text") -> DataFrame:
+def votes(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
     """Adds ``fired``: the numbers of the voters that speak up, in order, one byte each, and drops the text.
 
     Each lexicon entry and each pattern votes for toxic where it stands; where none does, one voter votes for clean.
     """
     keep = [c for c in docs.columns if c != text]
     schema = docs.select(*keep, F.lit(b"").alias("fired")).schema
-    lookup, patterns, silent = Lookup(words), len(words), len(words) + len(PATTERNS)
+    lookup, patterns, silent = Lookup(*words), len(words[0]), len(words[0]) + len(PATTERNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fired = []
-            for a, b, rows, numbers, data, starts in _found(batch.column(text), lookup):
+            for a, b, known, data, starts in _found(batch.column(text), lookup):
                 own = data[starts[0]:starts[-1]]
                 edge = starts - starts[0]
                 count = lambda signs: np.diff(np.append(0, np.cumsum(signs))[edge])
                 upper, letters = count(_UPPER[own]), count(_LETTER[own])
                 loud = np.stack([count(own == ord("!")) >= 3, (letters >= 20) & (2 * upper > letters), count(own == ord("?")) >= 5])
                 which, who = np.nonzero(loud)
-                pairs = np.concatenate([rows << 32 | numbers, who << 32 | (which + patterns)])
+                pairs = np.concatenate([known, who << 32 | (which + patterns)])
                 pairs.sort()
                 bounds = np.searchsorted(pairs >> 32, np.arange(b - a + 1))
                 numbers = (pairs & 0xFF).astype(np.uint8)
@@ -282,7 +298,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     sample = docs.join(F.broadcast(train), F.col(key) == F.col("_id")).select("toxic", F.col(text).alias("text"))
     sample = materialise(sample.filter(F.col("text").isNotNull()).dropDuplicates(["text"]), "sample")
     words = lexicon(sample) if by_label.get(1) else lexicon(sample.limit(0))
-    m = len(words) + len(PATTERNS) + 1
+    m = len(words[0]) + len(PATTERNS) + 1
     cast = materialise(votes(docs.select(key, *marks, F.col(text).alias("_text")), words, "_text"), "votes")
     patterns = materialise(cast.groupBy("fired").agg(F.count(F.lit(1)).alias("n")), "patterns")
     known = votes(sample, words).groupBy("toxic", "fired").agg(F.count(F.lit(1)).alias("n"))
@@ -292,7 +308,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         rows[r["toxic"]] += r["n"]
     if not rows.all():
         seen, rows = np.zeros((2, m)), np.array([1000.0, 1000.0])
-        seen[1, :len(words)], seen[0, -1], seen[1, -1] = 200, 900, 10
+        seen[1, :len(words[0])], seen[0, -1], seen[1, -1] = 200, 900, 10
     posterior = label_model(patterns, seen, rows, prior, m)
     w = train_classifier(patterns, posterior, m)
     scored = patterns.select("fired", "n").mapInArrow(_scorer(w, m), "fired binary, score double")
