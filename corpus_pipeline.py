@@ -1,15 +1,74 @@
-"""A corpus from raw documents to packed sequences, stage by stage."""
+"""A corpus from raw documents to packed sequences: each stage reads what the one before has kept and written."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from martloom.llm import mixing, near_duplicates, packing, quality_rules
+from martloom.llm import toxicity as toxic
+from martloom.llm.catalog import table, tokenizer
+from martloom.session import scratch_path
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """Adds two hashes of the whole row, by which rows are found again, whatever their id."""
+    return docs.select("*", F.xxhash64(*docs.columns).alias("_a"), F.hash(*docs.columns).alias("_b"))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that are scored as toxic. Labels are read from the table beside the documents'."""
+    scored = toxic.toxicity(_marked(docs), table(spark, sf_dir, "labels"), marks=("_a", "_b"))
+    gone = scored.filter(F.col("predicted") == 1).select("_a", "_b").distinct()
+    return _marked(docs).join(gone, ["_a", "_b"], "left_anti").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes failing lines, and documents that fail a rule or lose too much text with their lines."""
+    judged = quality_rules.quality_rules(docs).filter("kept")
+    text = F.when(F.col("lost") > 0, F.col("clean_text")).otherwise(F.col("text"))
+    fresh = {"text": text, "n_chars": F.when(F.col("lost") > 0, F.length("clean_text")).otherwise(F.col("n_chars"))}
+    return judged.select(*[fresh[c].cast(docs.schema[c].dataType).alias(c) if c in fresh else F.col(c) for c in docs.columns])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies, and all that are in no group."""
+    grouped = near_duplicates.near_duplicates(_marked(docs), marks=("_a", "_b"))
+    first = F.min(F.struct("doc_id", "_a", "_b"))
+    kept = grouped.filter(F.col("group").isNotNull()).groupBy("group").agg(first.alias("f")).select("f._a", "f._b")
+    kept = kept.withColumn("_one", F.lit(True)).union(
+        grouped.filter(F.col("group").isNull()).select("_a", "_b").distinct().withColumn("_one", F.lit(False)))
+    found = _marked(docs).join(kept, ["_a", "_b"])
+    turn = F.row_number().over(Window.partitionBy("_a", "_b").orderBy("_b"))
+    return found.withColumn("_turn", turn).filter(~F.col("_one") | (F.col("_turn") == 1)).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes every document as often as the mix has copies of it."""
+    return mixing.mixed(docs, mixing.mix(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences: one row per piece."""
+    return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity), ("quality_rules", quality), ("ngram_jaccard_join", one_of_each_group),
+    ("mixing", mix), ("best_fit_packing", pack),
+]
+
+#: The classifier cannot be written in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Applies the stages to the documents; each result is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.llm.ranks import ranked
+from martloom.llm.shipping import in_arrow
 from martloom.llm.token_counts import slices
 from martloom.llm.token_ids import encode
 from martloom.session import materialise
@@ -56,7 +57,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
                     columns.append(pa.array(own, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(cut, T.StructType(fields))
+    return in_arrow(docs.select(F.col(key), F.col(text).alias("_text")), cut, T.StructType(fields))
 
 
 def fullest(counts: dict[int, int], lengths: list[int], room: int) -> dict[int, int]:
@@ -158,7 +159,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequences), pa.array(offsets)],
                                              [*names, "sequence_id", "offset"])
 
-    return numbered.select(*names, "_rank").mapInArrow(put, schema)
+    return in_arrow(numbered.select(*names, "_rank"), put, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.bpe import Transducer
+from martloom.llm.shipping import in_arrow
 
 #: Characters of a chunk, and characters that are held at once.
 CHUNK, HELD = 512, 1_000_000
@@ -116,4 +117,4 @@ def token_counts(docs: DataFrame, model: str, text: str = "text", out: str = "n_
             column = pa.array(np.concatenate(counted) if counted else np.zeros(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], column], [*keep, out])
 
-    return docs.select(*[F.col(f"`{c}`") for c in given]).mapInArrow(add, schema)
+    return in_arrow(docs.select(*[F.col(f"`{c}`") for c in given]), add, schema)

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.llm.shipping import ship
 from martloom.session import materialise
 
 SCALE, LISTS = 64, 4
@@ -70,7 +71,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     cannot reach it; the others of every list are collected. 3: those are resolved exactly, and what reaches the cutoff,
     at most k of a block, is passed on.
     """
-    spark = vectors.sparkSession
+    ship(vectors.sparkSession)
     base = materialise(vectors.filter(usable(key, vector)).select(
         F.col(key).alias("id"), F.col(vector).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")), "vectors")
     n, n_queries = base.agg(F.count(F.lit(1)), F.count_if("q")).first()

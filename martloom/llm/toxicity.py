@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.shingles import prefix_hashes, text_parts
+from martloom.llm.shipping import in_arrow
 from martloom.session import materialise
 
 #: Rows of each label that lexicons are learned from, at most: those with the smallest hashes of their id.
@@ -70,7 +71,7 @@ def feature_counts(sample: DataFrame) -> DataFrame:
                         [pa.array(value.view(np.int64)), pa.array(np.full(len(value), level)), pa.array(toxic),
                          pa.array(total - toxic)], ["feature", "level", "toxic", "clean"])
 
-    found = sample.select("toxic", "text").mapInArrow(run, "feature long, level long, toxic long, clean long")
+    found = in_arrow(sample.select("toxic", "text"), run, "feature long, level long, toxic long, clean long")
     return found.groupBy("feature", "level").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -136,7 +137,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 bits[pairs >> 32, pairs & 0xFFFFFFFF] = True
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], ["bits"])
 
-    held = sample.filter("toxic = 1").select("text").mapInArrow(run, "bits binary").collect()
+    held = in_arrow(sample.filter("toxic = 1").select("text"), run, "bits binary").collect()
     stands = np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in held]), axis=1)[:, :len(features)].astype(bool)
     left, chosen = np.ones(len(stands), bool), []
     least = max(LEAST_GAIN, GAIN_SHARE * len(stands))
@@ -189,7 +190,7 @@ def votes(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], text: str = "te
                     fired.append(mine.tobytes() + (b"" if (mine < patterns).any() else bytes([silent])))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(fired, pa.binary())], schema.names)
 
-    return docs.select(*docs.columns).mapInArrow(run, schema)
+    return in_arrow(docs.select(*docs.columns), run, schema)
 
 
 def _summed(patterns: DataFrame, work) -> dict[int, float]:
@@ -204,7 +205,7 @@ def _summed(patterns: DataFrame, work) -> dict[int, float]:
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["i", "x"])
 
-    rows = patterns.select("fired", "n").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    rows = in_arrow(patterns.select("fired", "n"), run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     return {r["i"]: r["x"] for r in rows}
 
 
@@ -311,7 +312,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         seen[1, :len(words[0])], seen[0, -1], seen[1, -1] = 200, 900, 10
     posterior = label_model(patterns, seen, rows, prior, m)
     w = train_classifier(patterns, posterior, m)
-    scored = patterns.select("fired", "n").mapInArrow(_scorer(w, m), "fired binary, score double")
+    scored = in_arrow(patterns.select("fired", "n"), _scorer(w, m), "fired binary, score double")
     scored = cast.join(materialise(scored, "scores"), "fired")
     return scored.select(key, *marks, F.coalesce(is_held_out(key), F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
