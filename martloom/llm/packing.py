@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,8 @@ from martloom.llm.token_ids import encode
 from martloom.session import materialise
 
 CAPACITY, END = 4096, 1
+#: Long pieces that are tried to close a bin.
+TRIES = 8
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False,
@@ -87,6 +90,23 @@ def fullest(counts: dict[int, int], lengths: list[int], room: int) -> dict[int,
     return found
 
 
+def closed(counts: dict[int, int], lengths: list[int], room: int, tries: int = TRIES) -> dict[int, int]:
+    """The fullest combination, with a long piece in it if that leaves none emptier.
+
+    The longest pieces that fit are tried in turn, each closed by the fullest combination of the rest; if none of the
+    first few fills the room, the fullest combination of all is taken.
+    """
+    fit = [n for n in lengths[bisect.bisect_left(lengths, -room, key=lambda n: -n):] if counts[n]]
+    for n in fit[:tries]:
+        counts[n] -= 1
+        found = fullest(counts, fit, room - n)
+        counts[n] += 1
+        if n + sum(length * k for length, k in found.items()) == room:
+            found[n] = found.get(n, 0) + 1
+            return found
+    return fullest(counts, fit, room)
+
+
 def bin_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
     """Bins as (copies, pieces by length). The longest piece left opens a bin and the fullest combination closes it.
 
@@ -99,7 +119,7 @@ def bin_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
     while lengths:
         longest = lengths[0]
         counts[longest] -= 1
-        found = fullest(counts, lengths, capacity - longest)
+        found = closed(counts, lengths, capacity - longest)
         counts[longest] += 1
         found[longest] = found.get(longest, 0) + 1
         copies = min(counts[n] // k for n, k in found.items())
