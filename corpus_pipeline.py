@@ -36,7 +36,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies, and all that are in no group."""
     grouped = near_duplicates.near_duplicates(_marked(docs), marks=("_a", "_b"))
-    first = F.min(F.struct("doc_id", "_a", "_b"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_a", "_b"))
     kept = grouped.filter(F.col("group").isNotNull()).groupBy("group").agg(first.alias("f")).select("f._a", "f._b")
     kept = kept.withColumn("_one", F.lit(True)).union(
         grouped.filter(F.col("group").isNull()).select("_a", "_b").distinct().withColumn("_one", F.lit(False)))

@@ -28,6 +28,8 @@ INSULTS = ("idiot", "idiots", "moron", "morons", "stupid", "dumb", "imbecile", "
 PATTERNS = ("shouting", "capitals", "question storm")
 SILENT = "no voter"
 EM_ROUNDS, NEWTON_ROUNDS, PULL = 8, 8, 1.0
+#: Documents that the rates seen in the sample count as, beside all documents' votes.
+WEIGHT_OF_SAMPLE = 20
 #: Two voters that agree beyond their accuracies by this correlation share their weight.
 CORRELATED = 0.2
 
@@ -230,8 +232,8 @@ def label_model(patterns: DataFrame, seen: np.ndarray, rows: np.ndarray, prior:
     ``rows``), then by expectation and maximization over the vote patterns of all documents. Correlations: what two
     voters fire together beyond these accuracies; a voter's weight is divided among those it goes with.
     """
-    rates = (seen + 0.05) / (rows[:, None] + 1)
-    share = np.ones(m)
+    first = (seen + 0.05) / (rows[:, None] + 1)
+    rates, share = first, np.ones(m)
     odds = np.log(prior / (1 - prior))
     weights = np.append(share * np.log(rates[1] / rates[0]), odds)
     for turn in range(EM_ROUNDS):
@@ -245,7 +247,8 @@ def label_model(patterns: DataFrame, seen: np.ndarray, rows: np.ndarray, prior:
 
         sums = _dense(_summed(patterns, expect), 2 * m + 2 + (2 * m * m if turn == EM_ROUNDS // 2 else 0))
         on_toxic, on_clean, (toxic, clean) = sums[:m], sums[m:2 * m], sums[2 * m:2 * m + 2]
-        rates = np.stack([(on_clean + 0.05) / (clean + 1), (on_toxic + 0.05) / (toxic + 1)])
+        rates = np.stack([(on_clean + WEIGHT_OF_SAMPLE * first[0]) / (clean + WEIGHT_OF_SAMPLE),
+                          (on_toxic + WEIGHT_OF_SAMPLE * first[1]) / (toxic + WEIGHT_OF_SAMPLE)])
         if turn == EM_ROUNDS // 2:
             together = sums[2 * m + 2:].reshape(2, m, m)
             n = np.array([max(toxic, 1.0), max(clean, 1.0)])
@@ -255,8 +258,7 @@ def label_model(patterns: DataFrame, seen: np.ndarray, rows: np.ndarray, prior:
                 excess = np.maximum(excess, (together[y] / n[y] - np.outer(one, one)) / spread * (n[y] * np.minimum.outer(one, one) >= 5))
             np.fill_diagonal(excess, 0)
             share = 1 / (1 + np.where(excess >= CORRELATED, excess.clip(max=1), 0).sum(1))
-        total = max(toxic + clean, 1.0)
-        odds = np.log((toxic + 0.5) / total) - np.log((clean + 0.5) / total)
+        odds = np.log(toxic + WEIGHT_OF_SAMPLE * prior) - np.log(clean + WEIGHT_OF_SAMPLE * (1 - prior))
         weights = np.append(share * np.log(rates[1] / rates[0]), odds)
         silent = m - 1
         weights[silent] = min(weights[silent], 0)
@@ -264,8 +266,11 @@ def label_model(patterns: DataFrame, seen: np.ndarray, rows: np.ndarray, prior:
 
 
 def train_classifier(patterns: DataFrame, posterior: np.ndarray, m: int) -> np.ndarray:
-    """Logistic regression of the posterior labels on who fired, by Newton steps whose sums run over all documents."""
-    w = np.zeros(m + 1)
+    """Logistic regression of the posterior labels on who fired, by Newton steps whose sums run over all documents.
+
+    It starts from the label model's weights, and few documents move it little from there.
+    """
+    w = posterior.copy()
     for _ in range(NEWTON_ROUNDS):
         def step(fired, counts, w=w):
             x = np.hstack([_matrix(fired, m), np.ones((len(fired), 1))])
@@ -274,8 +279,8 @@ def train_classifier(patterns: DataFrame, posterior: np.ndarray, m: int) -> np.n
             return np.concatenate([x.T @ (counts * (p - y)), ((x * (counts * p * (1 - p))[:, None]).T @ x).ravel()])
 
         sums = _dense(_summed(patterns, step), m + 1 + (m + 1) ** 2)
-        pull = np.append(np.full(m, PULL), 1e-3)
-        slope, bend = sums[:m + 1] + pull * w, sums[m + 1:].reshape(m + 1, m + 1) + np.diag(pull)
+        pull = np.full(m + 1, PULL)
+        slope, bend = sums[:m + 1] + pull * (w - posterior), sums[m + 1:].reshape(m + 1, m + 1) + np.diag(pull)
         move = np.linalg.solve(bend, slope)
         w = w - move * min(1.0, 4 / max(np.abs(move).max(), 1e-9))
         if np.abs(move).max() < 1e-3:
