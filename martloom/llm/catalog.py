@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import licenses, mixing, near_duplicates, packing, quality_rules, token_counts, topk_search, toxicity, url_filters
+from martloom.llm import chat_format, licenses, mixing, near_duplicates, packing, quality_rules, token_counts, topk_search, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str | Callable[[], str]] = {}
@@ -143,6 +143,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+@query("op7_chat_formatting")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    chats = chat_format.formatted(table(spark, folder, "conversations"))
+    return chats.withColumn("held_out", chat_format.is_held_out("conv_id"))
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
