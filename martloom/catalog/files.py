@@ -335,12 +335,12 @@ def _(s):
 
 
 @query("copy_clickstream", _CLICK_ORACLE.format(
-    kind="upper(event_type)", extra=", 'mobile' AS device_type, event_id % 60 = 11 AS bad"))
+    kind="upper(event_type)", extra=", 'mobile' AS device_type, event_id % 60 = 11 AS missed"))
 def _(s):
     path = _written(s, _click_docs(s), "copy-clicks", "text")
     marked = loading.clean_clickstream(files.read_json_lines(s.spark, path))
     return marked.select("event_id", "session_id", "customer_id", "event_type", "event_timestamp", "device_type",
-                         (F.size(loading.ERRORS) > 0).alias("bad"))
+                         (F.size(loading.MISSED) > 0).alias("missed"))
 
 
 # Loads
@@ -358,34 +358,84 @@ def _(s):
     return _marked_sales(s).select(*_SALES_COLUMNS)
 
 
-@query("on_error_policy", star(_RAW_ORACLE + f"SELECT {_SALES_SELECT} FROM raw WHERE NOT bad"))
+# Of every how many products of a file one has a cost that cannot be read.
+_FAULTY = {0: None, 1: 50, 2: 10, 3: 2}
+_FAULTY_ORACLE = """, faulty AS (
+  SELECT product_id, product_name, product_key % 4 AS file, CAST(unit_price AS DOUBLE) AS unit_price,
+    CASE product_key % 4 WHEN 1 THEN product_key // 4 % 50 = 0 WHEN 2 THEN product_key // 4 % 10 = 0
+      WHEN 3 THEN product_key // 4 % 2 = 0 ELSE FALSE END AS bad
+  FROM dim_product), per_file AS (
+  SELECT file, COUNT(*) AS n, COUNT(*) FILTER (bad) AS bad_rows FROM faulty GROUP BY file)
+"""
+
+
+def _marked_products(s):
+    """Product documents in four files, with no, few, some and many costs that cannot be read."""
+    key, paths = F.col("product_key"), []
+    for file, every in _FAULTY.items():
+        cost = F.col("unit_cost").cast("string")
+        if every:
+            cost = F.when(F.floor(key / 4) % every == 0, "unknown").otherwise(cost)
+        doc = F.to_json(F.struct("product_id", "product_name", F.col("unit_price").cast("double").alias("unit_price"),
+                                 cost.alias("unit_cost")))
+        rows = s.dim_product.filter(key % 4 == file).select(doc.alias("value")).coalesce(1)
+        paths.append(_written(s, rows, f"faulty-{file}", "text"))
+    return loading.clean_products(files.read_json_lines(s.spark, paths))
+
+
+def _by_policy(policy, loads):
+    @query(f"on_error_{policy.lower().replace('%', '_percent')}", star(_FAULTY_ORACLE + f"""
+SELECT product_id, product_name, unit_price FROM faulty JOIN per_file USING (file) WHERE NOT bad AND {loads}"""))
+    def _(s):
+        good, _bad = loading.apply_on_error(_marked_products(s), policy)
+        return good.select("product_id", "product_name", F.col("unit_price").cast("double").alias("unit_price"))
+
+
+_by_policy("CONTINUE", "TRUE")
+_by_policy("SKIP_FILE", "bad_rows = 0")
+_by_policy("SKIP_FILE_5", "bad_rows < 5")
+_by_policy("SKIP_FILE_20%", "bad_rows * 100 < 20 * n")
+
+
+@query("on_error_abort", star(_FAULTY_ORACLE + """
+SELECT file, bad_rows > 0 AS aborted, CASE WHEN bad_rows > 0 THEN 0 ELSE n END AS loaded FROM per_file"""))
 def _(s):
-    # Every file holds about two percent bad rows, so 50 percent skips none and the good rows load.
-    good, _bad = loading.apply_on_error(_marked_sales(s), "SKIP_FILE_50%")
-    return good.select(*_SALES_COLUMNS)
+    marked = _marked_products(s)
+    bad = marked.groupBy("source_file").agg(
+        F.min(F.regexp_extract("source_file", "faulty-([0-9])", 1).cast("bigint")).alias("file"),
+        (F.count_if(F.size(loading.ERRORS) > 0) > 0).alias("aborted"), F.count("*").alias("n"))
+    return bad.select("file", "aborted", F.when(F.col("aborted"), 0).otherwise(F.col("n")).alias("loaded"))
 
 
-@query("reject_rows", star(_RAW_ORACLE + """
-SELECT order_id, order_line_id, product_id, 'cannot read ' || concat_ws(', ',
-  CASE WHEN k % 113 = 0 THEN 'transaction_date' END, CASE WHEN k % 127 = 0 THEN 'quantity' END) AS rejection_reason,
-  TRUE AS placed FROM raw WHERE bad"""))
+@query("reject_rows", star(_FAULTY_ORACLE + """
+SELECT product_id, 'cannot read unit_cost' AS rejection_reason, TRUE AS placed FROM faulty WHERE bad"""))
 def _(s):
-    _good, bad = loading.apply_on_error(_marked_sales(s))
-    return bad.select("order_id", "order_line_id", "product_id", "rejection_reason",
+    _good, bad = loading.apply_on_error(_marked_products(s))
+    return bad.select("product_id", "rejection_reason",
                       (F.col("source_file").isNotNull() & (F.col("file_row_number") > 0)).alias("placed"))
 
 
-@query("validation_mode", star(_RAW_ORACLE + "SELECT order_id, order_line_id, product_id FROM raw WHERE bad"))
+@query("validation_mode", star(_FAULTY_ORACLE + "SELECT product_id FROM faulty WHERE bad"))
+def _(s):
+    return loading.validate(_marked_products(s), "RETURN_ALL_ERRORS").select("product_id")
+
+
+@query("load_history", star(_FAULTY_ORACLE + """
+SELECT file, CASE WHEN bad_rows < 5 THEN n - bad_rows ELSE 0 END AS row_count, n AS row_parsed,
+  bad_rows AS error_count, CASE WHEN bad_rows = 0 THEN 'LOADED' WHEN bad_rows >= 5 THEN 'LOAD_SKIPPED'
+    ELSE 'PARTIALLY_LOADED' END AS status FROM per_file"""))
 def _(s):
-    return loading.validate(_marked_sales(s), "RETURN_ALL_ERRORS").select("order_id", "order_line_id", "product_id")
+    history = loading.load_history(_marked_products(s), _NOW, "SKIP_FILE_5")
+    return history.select(F.regexp_extract("file_name", "faulty-([0-9])", 1).cast("bigint").alias("file"), "row_count",
+                          "row_parsed", "error_count", "status")
 
 
-@query("load_history", star(_RAW_ORACLE + """
-SELECT CAST(COUNT(*) FILTER (NOT bad) AS BIGINT) AS row_count, COUNT(*) AS row_parsed,
-  COUNT(*) FILTER (bad) AS error_count, 'PARTIALLY_LOADED' AS status FROM raw"""))
+@query("missed_fields", star(_RAW_ORACLE + """
+SELECT field, COUNT(*) AS rows FROM (
+  SELECT 'transaction_date' AS field FROM raw WHERE k % 113 = 0 UNION ALL
+  SELECT 'quantity' FROM raw WHERE k % 127 = 0) GROUP BY field"""))
 def _(s):
-    history = loading.load_history(_marked_sales(s, 1), _NOW)
-    return history.select("row_count", "row_parsed", "error_count", "status")
+    return loading.missed_fields(_marked_sales(s)).groupBy("field").agg(F.count("*").alias("rows"))
 
 
 @query("incremental_load", star("""

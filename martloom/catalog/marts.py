@@ -212,41 +212,47 @@ def _(s):
     return rounded(M.store_regional_summary(s.dim_store), "avg_sqft")
 
 
-def _sold_days(s):
-    """The calendar, restricted to days on which something was sold."""
-    return s.dim_date.join(s.order_heads.select("date_key").distinct(), "date_key", "left_semi")
+def _with_orders(s, days):
+    """Every day of a calendar with its number of orders."""
+    per_day = s.order_heads.groupBy("date_key").agg(F.count("*").alias("orders"))
+    return days.join(per_day, "date_key", "left").fillna(0, ["orders"])
 
 
-_SOLD = """, sold AS (SELECT * FROM dim_date WHERE date_key IN (
-  SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) FROM orders))
+_DAYS = """, days AS (
+  SELECT dim_date.*, COALESCE(orders, 0) AS orders FROM dim_date LEFT JOIN (
+    SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key, COUNT(*) AS orders FROM orders GROUP BY 1)
+  USING (date_key))
 """
 
 
-@query("business_days_by_month", star(f"""{_SOLD}
+@query("business_days_by_month", star(f"""{_DAYS}
 SELECT year_number, month_number, month_name, COUNT(*) AS total_days,
   COUNT(*) FILTER (is_business_day) AS business_days, COUNT(*) FILTER (is_weekend) AS weekend_days,
-  COUNT(*) FILTER (is_holiday) AS holidays
-FROM sold GROUP BY ALL"""))
+  COUNT(*) FILTER (is_holiday) AS holidays, CAST(SUM(orders) AS BIGINT) AS orders
+FROM days GROUP BY ALL"""))
 def _(s):
-    return C.business_days_by_month(_sold_days(s))
+    per_month = _with_orders(s, s.dim_date).groupBy("year_number", "month_number").agg(F.sum("orders").alias("orders"))
+    return C.business_days_by_month(s.dim_date).join(per_month, ["year_number", "month_number"])
 
 
-@query("date_dim_coverage", star(f"""{_SOLD}
+@query("date_dim_coverage", star(f"""{_DAYS}
 SELECT MIN(full_date) AS earliest_date, MAX(full_date) AS latest_date, COUNT(*) AS total_days,
-  COUNT(DISTINCT year_number) AS years_covered, COUNT(*) FILTER (is_holiday) AS total_holidays FROM sold"""))
+  COUNT(DISTINCT year_number) AS years_covered, COUNT(*) FILTER (is_holiday) AS total_holidays,
+  COUNT(*) FILTER (orders > 0) AS days_with_orders FROM days"""))
 def _(s):
-    return C.date_coverage(_sold_days(s))
+    sold = s.order_heads.agg(F.countDistinct("date_key").alias("n"))
+    return C.date_coverage(s.dim_date).withColumn("days_with_orders", sold.scalar())
 
 
-@query("current_month_calendar", star(f"""{_SOLD}
-SELECT date_key, full_date, day_name, is_weekend, is_holiday, is_business_day FROM sold WHERE is_current_month"""))
+@query("current_month_calendar", star(f"""{_DAYS}
+SELECT date_key, full_date, day_name, is_weekend, is_holiday, is_business_day, orders FROM days WHERE is_current_month"""))
 def _(s):
-    return C.current_month_calendar(_sold_days(s))
+    return _with_orders(s, C.current_month_calendar(s.dim_date))
 
 
-@query("dim_date", star(f"{_SOLD} SELECT * FROM sold"))
+@query("dim_date", star(f"{_DAYS} SELECT * FROM days"))
 def _(s):
-    return _sold_days(s)
+    return _with_orders(s, s.dim_date)
 
 
 @query("dim_date_holidays", star("""

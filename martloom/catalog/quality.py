@@ -23,7 +23,7 @@ _STAGED = """, staged AS (
   FROM (SELECT *, order_id * 7 + order_line_id AS k FROM fact_lines))
 ), sales_faults AS (
   SELECT *, order_id IS NULL AS f1, quantity <= 0 AS f2,
-    ABS(total_amount - unit_price * quantity * (100 - discount_percent) / 100) > 0.0100001 AS f3,
+    ABS(total_amount * 100 - unit_price * quantity * (100 - discount_percent)) > 1 AS f3,
     payment_method = 'CHEQUE' AS f4 FROM staged
 ), staged_customers AS (
   SELECT CASE WHEN customer_key % 89 <> 0 THEN customer_id END AS customer_id, email,

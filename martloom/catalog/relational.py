@@ -454,10 +454,10 @@ def _(s):
 
 @query("order_by_case", """
 SELECT event_id, event_type FROM events
-ORDER BY CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END, event_id DESC LIMIT 2500""")
+ORDER BY CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END, event_id DESC""")
 def _(s):
     order = [shapes.by_rank("event_type", ["error", "purchase"]), F.desc("event_id")]
-    return shapes.top(s.events, order, 2500).select("event_id", "event_type")
+    return s.events.orderBy(*order).select("event_id", "event_type")
 
 
 @query("union_counts", " UNION ALL ".join(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from martloom.operators.shapes import by_rank, invalid_email, invalid_email_loos
 PASS, WARNING, FAIL, ERROR, SKIP = "PASS", "WARNING", "FAIL", "ERROR", "SKIP"
 # Accepted payment methods and the tolerated difference of an amount.
 PAYMENT_METHODS = ("CREDIT_CARD", "DEBIT_CARD", "CASH", "PAYPAL")
-AMOUNT_TOLERANCE = 0.01
+AMOUNT_TOLERANCE = Decimal("0.01")
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,7 @@ def union(parts: Sequence[DataFrame]) -> DataFrame:
 
 def amount_off(total: Column, price: Column, quantity: Column, discount: Column) -> Column:
     """True if the total misses price x quantity less discount by more than the tolerance."""
-    return F.abs(total - price * quantity * (1 - discount / 100)) > AMOUNT_TOLERANCE
+    return F.abs(total - price * quantity * (1 - discount / 100)) > F.lit(AMOUNT_TOLERANCE)
 
 
 def _sales_faults() -> dict[str, Column]:
@@ -122,6 +123,11 @@ def mark_customers(customers: DataFrame, as_of: dt.date) -> DataFrame:
     return _mark(customers, [F.col("customer_id").isNull(), F.col("registration_date") > D.day(as_of)])
 
 
+def mark_clicks(events: DataFrame) -> DataFrame:
+    """Flags events without an id, session, time or type."""
+    return _mark(events, [F.col(c).isNull() for c in ("event_id", "session_id", "event_timestamp", "event_type")])
+
+
 # Curated rules by dimension of quality
 
 def _missing(column: str) -> Column:
@@ -342,8 +348,8 @@ def data_flow_tests(staged_sales: DataFrame, fact: DataFrame, calendar: DataFram
 
 
 def transform_tests(fact: DataFrame, product: DataFrame, customer: DataFrame) -> DataFrame:
-    off = F.abs(F.col("gross_amount") - F.col("unit_price") * F.col("quantity")) > AMOUNT_TOLERANCE
-    over = F.col("net_amount") > F.col("gross_amount") + AMOUNT_TOLERANCE
+    off = F.abs(F.col("gross_amount") - F.col("unit_price") * F.col("quantity")) > F.lit(AMOUNT_TOLERANCE)
+    over = F.col("net_amount") > F.col("gross_amount") + F.lit(AMOUNT_TOLERANCE)
     margin = F.col("profit_margin")
     return union([
         _named(fact, "GROSS_AMOUNT_CALC", count_if(off), "records where gross_amount != unit_price * quantity", _TEST),

@@ -1,9 +1,10 @@
 """Windows over raw rows whose key may be hot.
 
-A key with more than ``limit`` rows is cut into up to ``parts`` equal-depth
-slices along the window order; the window runs per (key, slice) and a small
-per-slice summary carries totals across slices. Ordinary keys keep one slice.
-All rows stay in the result.
+A key with more than ``limit`` rows is cut into equal-depth slices along the
+window order, as many as keep a slice of the largest key under the limit; the
+window runs per (key, slice) and a small per-slice summary carries totals across
+slices. Ordinary keys keep one slice, and without a hot key nothing is joined.
+All rows stay in the result; NULL is a key like any other.
 """
 
 from __future__ import annotations
@@ -14,36 +15,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 4_000_000
-PARTS = 64
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """A join in which NULL equals NULL; the keys are the left ones."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(other, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _parts(rows: DataFrame, keys: Sequence[str], limit: int) -> int:
+    """Slices that the largest key needs; 0 if no key is hot."""
+    most = rows.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    return 0 if most <= limit else -(-most // limit) + 1
 
 
 def _bounds(rows: DataFrame, keys: Sequence[str], positions: dict[str, Column], limit: int, parts: int) -> DataFrame:
     """Equal-depth bounds of each hot key. At most row_count / limit keys are hot."""
-    hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(*keys)
     fractions = [i / parts for i in range(1, parts)]
-    return rows.join(hot, list(keys), "left_semi").groupBy(*keys).agg(*[
+    per_key = rows.groupBy(*keys).agg(F.count("*").alias("_n"), *[
         F.percentile_approx(position, fractions, parts * 100).alias(f"_b_{name}")
         for name, position in positions.items()
     ])
+    return per_key.filter(F.col("_n") > limit).drop("_n")
 
 
 def slice_hot(rows: DataFrame, keys: Sequence[str], position: Column, limit: int = HOT_ROWS,
-              parts: int = PARTS) -> DataFrame:
+              parts: int | None = None) -> DataFrame:
     """Adds ``_slice``: 0 for ordinary keys, else the number of bounds at or below ``position`` plus one."""
-    bounds = _bounds(rows, keys, {"p": position}, limit, parts)
-    joined = rows.join(bounds, list(keys), "left").withColumn("_pos", position)
+    parts = _parts(rows, keys, limit) if parts is None else parts
+    if not parts:
+        return rows.withColumn("_slice", F.lit(0))
+    joined = _joined(rows, _bounds(rows, keys, {"p": position}, limit, parts), keys).withColumn("_pos", position)
     index = F.size(F.expr("filter(_b_p, b -> b <= _pos)")) + 1
     return joined.withColumn("_slice", F.when(F.col("_b_p").isNull(), 0).otherwise(index)).drop("_b_p", "_pos")
 
 
 def slice_hot_with_ties(rows: DataFrame, keys: Sequence[str], value: Column, tie: Column,
-                        limit: int = HOT_ROWS, parts: int = PARTS) -> DataFrame:
+                        limit: int = HOT_ROWS, parts: int | None = None) -> DataFrame:
     """Slices for a descending ``value``, ties broken by ascending ``tie``.
 
     A value that fills whole slices alone (equal bounds) is cut again along ``tie``.
     """
+    parts = _parts(rows, keys, limit) if parts is None else parts
+    if not parts:
+        return rows.withColumn("_slice", F.lit(0))
     bounds = _bounds(rows, keys, {"v": value, "t": tie}, limit, parts)
-    joined = rows.join(bounds, list(keys), "left").withColumn("_val", value).withColumn("_tie", tie)
+    joined = _joined(rows, bounds, keys).withColumn("_val", value).withColumn("_tie", tie)
     above = F.size(F.expr("filter(_b_v, b -> b > _val)"))
     heavy = F.size(F.expr("filter(_b_v, b -> b = _val)")) > 1
     inner = F.when(heavy, F.size(F.expr("filter(_b_t, b -> b <= _tie)")) + 1).otherwise(0)
@@ -61,14 +81,14 @@ def carry(rows: DataFrame, keys: Sequence[str], total: Column, out: str) -> Data
 
 
 def rank_descending(rows: DataFrame, keys: Sequence[str], value: str, ties: Sequence[str], out: str,
-                    limit: int = HOT_ROWS, parts: int = PARTS) -> DataFrame:
+                    limit: int = HOT_ROWS, parts: int | None = None) -> DataFrame:
     """ROW_NUMBER per key by descending ``value``, then ``ties`` ascending (the first tie is numeric)."""
     cut = slice_hot_with_ties(rows, keys, F.col(value), F.col(ties[0]), limit, parts)
     order = [F.col(value).desc_nulls_last(), *[F.col(t).asc_nulls_first() for t in ties]]
     local = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)))
     before = carry(cut, keys, F.count("*"), "_before")
     return (
-        local.join(before, [*keys, "_slice"], "left")
+        _joined(local, before, [*keys, "_slice"])
         .withColumn(out, (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("bigint"))
         .drop("_rn", "_before", "_slice")
     )
@@ -82,7 +102,7 @@ def running_total(rows: DataFrame, keys: Sequence[str], period: str, value: str,
     per_period = rows.groupBy(*keys, period).agg(F.sum(value).alias("_s"))
     w = Window.partitionBy(*keys).orderBy(period)
     totals = per_period.select(*keys, period, F.sum("_s").over(w).alias(out))
-    return rows.join(totals, [*keys, period], "left")
+    return _joined(rows, totals, [*keys, period])
 
 
 def _with_previous(cut: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
@@ -94,10 +114,9 @@ def _with_previous(cut: DataFrame, keys: Sequence[str], order: Sequence[str], va
     )
     across = Window.partitionBy(*keys).orderBy("_slice")
     edges = last.select(*keys, "_slice", F.lag(F.col("_last._v")).over(across).alias("_edge"))
+    seen = cut.withColumn("_row", F.row_number().over(local)).withColumn("_lag", F.lag(value).over(local))
     return (
-        cut.withColumn("_row", F.row_number().over(local))
-        .withColumn("_lag", F.lag(value).over(local))
-        .join(edges, [*keys, "_slice"], "left")
+        _joined(seen, edges, [*keys, "_slice"])
         .withColumn(out, F.when(F.col("_row") == 1, F.col("_edge")).otherwise(F.col("_lag")))
         .drop("_row", "_lag", "_edge")
     )
@@ -107,15 +126,14 @@ def _running_count(cut: DataFrame, keys: Sequence[str], order: Sequence[str], fl
     local = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = carry(cut, keys, F.sum(flag), "_before")
     return (
-        cut.withColumn("_c", F.sum(flag).over(local))
-        .join(before, [*keys, "_slice"], "left")
+        _joined(cut.withColumn("_c", F.sum(flag).over(local)), before, [*keys, "_slice"])
         .withColumn(out, (F.col("_c") + F.coalesce("_before", F.lit(0))).cast("bigint"))
         .drop("_c", "_before")
     )
 
 
 def sessionize(events: DataFrame, user: str, ts: str, tie: str, gap_minutes: int = 30,
-               limit: int = HOT_ROWS, parts: int = PARTS) -> DataFrame:
+               limit: int = HOT_ROWS, parts: int | None = None) -> DataFrame:
     """Adds ``session_number`` from 1: a new session after more than ``gap_minutes`` without an event.
 
     The gap counts minute boundaries.
@@ -130,7 +148,7 @@ def sessionize(events: DataFrame, user: str, ts: str, tie: str, gap_minutes: int
 
 
 def change_count(rows: DataFrame, key: str, ts: str, tie: str, value: str, out: str = "change_number",
-                 limit: int = HOT_ROWS, parts: int = PARTS) -> DataFrame:
+                 limit: int = HOT_ROWS, parts: int | None = None) -> DataFrame:
     """Running count of changes of ``value`` per key; NULLs do not count as a change."""
     cut = slice_hot(rows, [key], F.unix_micros(F.col(ts).cast("timestamp")), limit, parts)
     seen = _with_previous(cut, [key], [ts, tie], value, "_prev")

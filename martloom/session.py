@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
                   app: str = "martloom", settings: dict[str, str] | None = None) -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings its own."""
@@ -29,18 +32,30 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a local one if unset (tests)."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
+
+    If that is unset, a session that runs in one process gets a folder of its own; on a cluster it must be set.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    local = os.path.join(tempfile.gettempdir(), "martloom-shared")
-    os.makedirs(local, exist_ok=True)
-    return local
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="martloom-")
+    return _own[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the session's own part of the shared folder."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes what this session has written by ``scratch_path``; results that still read it are gone with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

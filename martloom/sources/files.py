@@ -140,14 +140,16 @@ def read_xml(spark: SparkSession, path: str | list[str], row_tag: str, schema: s
 
 
 def match_by_name(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """JSON loaded by column name, upper or lower case alike."""
+    """JSON loaded by column name, upper or lower case alike; of names that differ in case only, the last counts."""
     target = T.StructType.fromDDL(schema)
     lines = spark.read.text(path)
     fields = F.from_json("value", "map<string,string>")
-    lowered = F.map_from_entries(F.transform(
-        F.map_entries(fields), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))))
-    return lines.select(lowered.alias("m")).select(*[
-        F.col("m")[f.name.lower()].try_cast(f.dataType).alias(f.name) for f in target.fields])
+    def last(name: str) -> Column:
+        same = F.filter(F.map_entries("m"), lambda e: F.lower(e["key"]) == name.lower())
+        return F.get(F.reverse(F.transform(same, lambda e: e["value"])), F.lit(0))
+
+    return lines.select(fields.alias("m")).select(*[
+        last(f.name).try_cast(f.dataType).alias(f.name) for f in target.fields])
 
 
 def list_files(spark: SparkSession, path: str, since: dt.datetime | None = None, glob: str | None = None) -> DataFrame:

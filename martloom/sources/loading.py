@@ -23,7 +23,8 @@ STORE_ROWS = (
     ("STORE-005", "Outlet Mall Location", "OUTLET", "Dallas", "TX", "South", "USA", True, "2021-08-15"),
 )
 
-ERRORS = "_errors"
+#: Names of fields that could not be read: hard ones fail the row, soft ones are NULL and the row loads.
+ERRORS, MISSED = "_errors", "_missed"
 
 
 def seed_stores(spark: SparkSession) -> DataFrame:
@@ -31,14 +32,18 @@ def seed_stores(spark: SparkSession) -> DataFrame:
     return rows.withColumn("open_date", F.col("open_date").cast("date")).withColumn("dq_is_valid", F.lit(True))
 
 
-def _typed(raw: DataFrame, columns: Mapping[str, Column], checked: Mapping[str, Column]) -> DataFrame:
-    """Typed columns plus ``_errors``: the names whose text was set but could not be read."""
-    wrong = [F.when(text.isNotNull() & columns[name].isNull(), F.lit(name)) for name, text in checked.items()]
+def _typed(raw: DataFrame, columns: Mapping[str, Column], hard: Mapping[str, Column],
+           soft: Mapping[str, Column]) -> DataFrame:
+    """Typed columns plus ``_errors`` and ``_missed``: the hard and soft names whose text was set but not readable."""
+    def wrong(checked: Mapping[str, Column]) -> Column:
+        names = [F.when(text.isNotNull() & columns[name].isNull(), F.lit(name)) for name, text in checked.items()]
+        return F.array_compact(F.array(*names)).cast("array<string>")
+
     return raw.select(
         *[c.alias(name) for name, c in columns.items()],
         F.col("_source_file").alias("source_file"), F.col("_file_row_number").alias("file_row_number"),
         F.col("_load_timestamp").alias("load_timestamp"),
-        F.array_compact(F.array(*wrong)).alias(ERRORS),
+        wrong(hard).alias(ERRORS), wrong(soft).alias(MISSED),
     )
 
 
@@ -56,8 +61,8 @@ def clean_sales(raw: DataFrame) -> DataFrame:
         "payment_method": F.upper(F.trim("payment_method")),
         "order_status": F.upper(F.trim("order_status")),
     }
-    checked = ("order_line_id", "transaction_date", "quantity", "unit_price", "discount_percent", "total_amount")
-    return _typed(raw, columns, {n: c(n) for n in checked})
+    soft = ("order_line_id", "transaction_date", "quantity", "unit_price", "discount_percent", "total_amount")
+    return _typed(raw, columns, {}, {n: c(n) for n in soft})
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
@@ -79,8 +84,8 @@ def clean_customers(raw: DataFrame) -> DataFrame:
         "is_active": casts.try_boolean(c("is_active")),
         "record_hash": hashing.record_hash(hashing.CUSTOMER_HASH_FIELDS),
     }
-    checked = ("date_of_birth", "registration_date", "loyalty_points", "is_active")
-    return _typed(raw, columns, {n: c(n) for n in checked})
+    soft = ("date_of_birth", "registration_date", "loyalty_points", "is_active")
+    return _typed(raw, columns, {}, {n: c(n) for n in soft})
 
 
 # Document fields and their staging types.
@@ -97,11 +102,12 @@ CLICK_TYPES = {
 }
 
 
-def _document(raw: DataFrame, columns: dict[str, Column], checked: Sequence[str]) -> DataFrame:
+def _document(raw: DataFrame, columns: dict[str, Column], hard: Sequence[str], soft: Sequence[str]) -> DataFrame:
+    """Documents: a text that is no document fails its row."""
     doc = F.col("raw_json")
     columns = {"_ok": F.when(doc.isNotNull(), True), **columns}
-    texts = {n: at(doc, n) for n in checked} | {"_ok": F.col("raw_text")}
-    return _typed(raw, columns, texts).drop("_ok")
+    texts = {n: at(doc, n) for n in hard} | {"_ok": F.col("raw_text")}
+    return _typed(raw, columns, texts, {n: at(doc, n) for n in soft}).drop("_ok")
 
 
 def clean_products(raw: DataFrame) -> DataFrame:
@@ -109,7 +115,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
     columns = {name: at(doc, name, kind) for name, kind in PRODUCT_TYPES.items()}
     columns["launch_date"] = casts.try_date(at(doc, "launch_date"))
     columns["attributes"] = F.try_variant_get(doc, "$.attributes", "variant")
-    return _document(raw, columns, ("unit_cost", "unit_price", "weight_kg", "is_active"))
+    return _document(raw, columns, ("unit_cost", "unit_price", "weight_kg", "is_active"), ("launch_date",))
 
 
 def click_columns() -> dict[str, Column]:
@@ -122,7 +128,7 @@ def click_columns() -> dict[str, Column]:
 
 
 def clean_clickstream(raw: DataFrame) -> DataFrame:
-    return _document(raw, click_columns(), ("event_timestamp", "duration_seconds", "quantity", "order_value"))
+    return _document(raw, click_columns(), ("duration_seconds", "quantity", "order_value"), ("event_timestamp",))
 
 
 # Error policies
@@ -151,8 +157,8 @@ def bad_files(marked: DataFrame, policy: str) -> DataFrame:
 
 def apply_on_error(marked: DataFrame, policy: str = "CONTINUE") -> tuple[DataFrame, DataFrame]:
     """Rows to load and rows rejected (with a reason) under an error policy."""
-    rejected = marked.filter(_is_bad()).withColumn("rejection_reason", _reason()).drop(ERRORS)
-    good = marked.filter(~_is_bad()).drop(ERRORS)
+    rejected = marked.filter(_is_bad()).withColumn("rejection_reason", _reason()).drop(ERRORS, MISSED)
+    good = marked.filter(~_is_bad()).drop(ERRORS, MISSED)
     if policy == "CONTINUE":
         return good, rejected
     if policy == "ABORT_STATEMENT":
@@ -166,6 +172,11 @@ def apply_on_error(marked: DataFrame, policy: str = "CONTINUE") -> tuple[DataFra
     return good.join(skipped, "source_file", "left_anti").select(*good.columns), rejected
 
 
+def missed_fields(marked: DataFrame) -> DataFrame:
+    """One row per field that was set, could not be read, and loads as NULL."""
+    return marked.filter(~_is_bad()).select("source_file", "file_row_number", F.explode(MISSED).alias("field"))
+
+
 def validate(marked: DataFrame, mode: str) -> DataFrame:
     """Dry run: the first n rows that would load, or the rows that would fail."""
     good, rejected = apply_on_error(marked)
@@ -216,12 +227,15 @@ def pending_files(found: DataFrame, registry: DataFrame, force: bool = False,
 
 
 def registry_rows(todo: DataFrame, history: DataFrame, batch_id: str, now: dt.datetime) -> DataFrame:
+    """One row per file: LOADED, or LOAD_SKIPPED if the error policy dropped it; only LOADED files are not tried again."""
+    skipped = F.col("status") == "LOAD_SKIPPED"
     counts = history.select(F.col("file_name").alias("path"), F.col("row_count").alias("rows_loaded"),
-                            F.col("first_error_message").alias("error_message"))
+                            F.col("first_error_message").alias("error_message"),
+                            F.when(skipped, F.col("status")).otherwise("LOADED").alias("status"))
     rows = todo.join(counts, "path", "left").select(
         F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length").alias("file_size_bytes"), F.col("modification_time").alias("file_modified_date"),
-        F.lit("LOADED").alias("process_status"), F.lit(str(now)).cast("timestamp_ntz").alias("process_timestamp"),
+        F.coalesce("status", F.lit("LOADED")).alias("process_status"), F.lit(str(now)).cast("timestamp_ntz").alias("process_timestamp"),
         F.lit(batch_id).alias("batch_id"), F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"), "error_message")
     return rows
 
@@ -238,12 +252,15 @@ def incremental_load(spark: SparkSession, source: str, target: str, registry: st
     """Loads the files not in the registry into ``target`` and registers them; gives the rows loaded.
 
     Rows go to a folder of the batch, overwritten on a retry, and the registry is
-    written last: a batch that died half-way is loaded again, once.
+    written last: a batch that died half-way is loaded again, once. A batch id that
+    is in the registry is not used again.
     """
     todo = pending_files(files.list_files(spark, source, glob=glob), read_registry(spark, registry), force, size_limit)
     paths = [r["path"] for r in todo.select("path").orderBy("path").collect()]
     if not paths:
         return 0
+    if sinks._exists(spark, f"{registry}/batch={batch_id}"):
+        raise ValueError(f"batch {batch_id} is loaded already; new files need a new batch id")
     # Parsed once; the rows, the rejects and the history are read from the typed copy.
     marked = materialise(clean(read(spark, paths)), "marked")
     good, rejected = apply_on_error(marked, policy)
@@ -268,7 +285,7 @@ def run_with_audit(spark: SparkSession, audit: str, table: str, load: Callable[[
     try:
         loaded, rejected = load()
     except Exception as error:
-        write(clock(), None, None, "FAILED", str(error)[:2000])
+        write(clock(), None, None, "FAILED", str(error))
         return "FAILED"
     write(clock(), loaded, rejected, "COMPLETED", None)
     return "COMPLETED"

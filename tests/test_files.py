@@ -109,13 +109,26 @@ def sale(i, quantity="1", date="2024-01-15 09:00:00"):
     return f"O{i},1,C1,P1,S1,{date},{quantity},10.00,0.00,10.00,cash,completed\n"
 
 
+def good(i, cost="6.50", launched="2023-05-01"):
+    return f'{{"product_id": "P{i}", "product_name": "N", "unit_cost": "{cost}", "launch_date": "{launched}"}}\n'
+
+
 @pytest.fixture
 def marked(spark, folder):
-    put(folder, "good.csv", COLUMNS + "\n" + "".join(sale(i) for i in range(10)))
-    put(folder, "one.csv", COLUMNS + "\n" + sale(20, "many") + "".join(sale(i) for i in range(21, 30)))
-    put(folder, "five.csv", COLUMNS + "\n" + "".join(sale(i, date="soon") for i in range(40, 45))
-        + "".join(sale(i) for i in range(45, 50)))
-    return loading.clean_sales(files.read_delimited(spark, folder, RAW_SALES, load_time=NOW))
+    put(folder, "good.json", "".join(good(i, launched="soon") for i in range(10)))
+    put(folder, "one.json", good(20, "many") + "".join(good(i) for i in range(21, 30)))
+    put(folder, "five.json", "".join(good(i, "cheap") for i in range(40, 45)) + "".join(good(i) for i in range(45, 50)))
+    return loading.clean_products(files.read_json_lines(spark, folder, load_time=NOW))
+
+
+def test_unreadable_soft_fields_load_as_null(spark, folder, marked):
+    put(folder, "sales/a.csv", COLUMNS + "\n" + sale(1, "many") + sale(2, date="soon") + sale(3))
+    sales = loading.clean_sales(files.read_delimited(spark, f"{folder}/sales", RAW_SALES, load_time=NOW))
+    kept, rejected = loading.apply_on_error(sales, "SKIP_FILE")
+    assert (kept.count(), rejected.count()) == (3, 0)
+    assert {(r["file_row_number"], r["field"]) for r in loading.missed_fields(sales).collect()} == {
+        (1, "quantity"), (2, "transaction_date")}
+    assert {r["field"] for r in loading.missed_fields(marked).collect()} == {"launch_date"}
 
 
 @pytest.mark.parametrize("policy, rows", [
@@ -135,10 +148,10 @@ def test_abort_and_validation(marked):
 
 def test_load_history(marked):
     rows = {os.path.basename(r["file_name"]): r for r in loading.load_history(marked, NOW, "SKIP_FILE").collect()}
-    assert (rows["good.csv"]["status"], rows["good.csv"]["row_count"]) == ("LOADED", 10)
-    assert (rows["five.csv"]["status"], rows["five.csv"]["row_count"]) == ("LOAD_SKIPPED", 0)
-    assert rows["one.csv"]["first_error_line_number"] == 1
-    assert rows["one.csv"]["first_error_message"] == "cannot read quantity"
+    assert (rows["good.json"]["status"], rows["good.json"]["row_count"]) == ("LOADED", 10)
+    assert (rows["five.json"]["status"], rows["five.json"]["row_count"]) == ("LOAD_SKIPPED", 0)
+    assert rows["one.json"]["first_error_line_number"] == 1
+    assert rows["one.json"]["first_error_message"] == "cannot read unit_cost"
 
 
 def test_incremental_load_and_registry(spark, folder):
@@ -152,19 +165,37 @@ def test_incremental_load_and_registry(spark, folder):
                                         **options)
 
     put(folder, "in/a.csv", COLUMNS + "\n" + sale(1) + sale(2, "many"))
-    assert load("b1") == 1 and load("b2") == 0
+    assert load("b1") == 2 and load("b2") == 0
     put(folder, "in/b.csv", COLUMNS + "\n" + sale(3) + sale(4))
+    with pytest.raises(ValueError, match="loaded already"):
+        load("b1")
     assert load("b3") == 2
     known = {r["file_name"]: r for r in loading.read_registry(spark, registry).collect()}
-    assert known["a.csv"]["rows_loaded"] == 1 and known["a.csv"]["error_message"] == "cannot read quantity"
+    assert known["a.csv"]["rows_loaded"] == 2 and known["a.csv"]["error_message"] is None
     assert known["b.csv"]["batch_id"] == "b3" and known["b.csv"]["process_status"] == "LOADED"
-    assert load("b4", force=True) == 3
+    assert load("b4", force=True) == 4
     listed = files.list_files(spark, landing)
     empty = loading.read_registry(spark, f"{folder}/none")
     first = listed.orderBy("modification_time", "path").first()
     assert loading.pending_files(listed, empty, size_limit=first["length"]).count() == 1
 
 
+def test_skipped_files_load_after_repair(spark, folder):
+    landing, target, registry = f"{folder}/in", f"{folder}/out", f"{folder}/reg"
+
+    def load(batch):
+        return loading.incremental_load(spark, landing, target, registry, lambda s, p: files.read_json_lines(s, p, load_time=NOW),
+                                        loading.clean_products, batch, NOW, "SKIP_FILE")
+
+    put(folder, "in/a.json", good(1) + good(2, "cheap"))
+    put(folder, "in/b.json", good(3))
+    assert load("b1") == 1
+    known = {r["file_name"]: r["process_status"] for r in loading.read_registry(spark, registry).collect()}
+    assert known == {"a.json": "LOAD_SKIPPED", "b.json": "LOADED"}
+    put(folder, "in/a.json", good(1) + good(2))
+    assert load("b2") == 2
+
+
 def test_audit_rows(spark, folder):
     def broken():
         raise RuntimeError("no space")

@@ -44,13 +44,20 @@ def test_two_batches(spark, folder):
     _write(layers.landing("sales/a.csv"), [",".join(_names(RAW_SALES)),
            _sale("O1", 1, "C1", 2, 10.0, 10, "2024-01-15"), _sale("O2", 1, "C2", 1, 10.0, 0, "2024-01-16"),
            _sale("O3", 1, "C1", 0, 10.0, 0, "2024-01-16"), _sale("O4", 1, "C1", 1, 10.0, 0, "2030-01-01")])
+    click = {"event_id": "e1", "session_id": "s1", "customer_id": "C1", "event_timestamp": "2024-01-15T10:00:00.000Z",
+             "event_type": "page_view"}
+    _write(layers.landing("clickstream/a.json"), [json.dumps(click), json.dumps(click), json.dumps(click | {
+        "event_id": "e2", "customer_id": None})])
     now = dt.datetime(2024, 1, 20, 6)
-    assert pipeline.run_batch(spark, layers, 1, days, now) == {"sales": 4, "customers": 2, "products": 1}
+    assert pipeline.run_batch(spark, layers, 1, days, now) == {
+        "sales": 4, "customers": 2, "products": 1, "clickstream": 3}
     fact = sinks.get_batch(spark, layers.curated("fact_sales"))
     rows = {r["order_id"]: r for r in fact.collect()}
     assert set(rows) == {"O1", "O2"} and float(rows["O1"]["net_amount"]) == 18.0
     assert float(rows["O1"]["discount_amount"]) == 2.0
     assert spark.read.parquet(f"{layers.staging('sales_rejected_dates')}/batch=1").count() == 1
+    clicks = {r["event_id"]: r for r in sinks.get_batch(spark, layers.curated("fact_clickstream")).collect()}
+    assert set(clicks) == {"e1", "e2"} and clicks["e1"]["customer_key"] and clicks["e2"]["customer_key"] is None
     product = sinks.get_batch(spark, layers.curated("dim_product")).first()
     assert float(product["profit_margin"]) == 40.0
 
@@ -82,3 +89,27 @@ def test_two_batches(spark, folder):
     before = sorted(map(str, fact.collect()))
     pipeline.load_facts(spark, layers, 3, days)
     assert sorted(map(str, sinks.get_batch(spark, layers.curated("fact_sales")).collect())) == before
+
+
+def test_a_batch_that_died_is_loaded_by_the_next_run(spark, folder):
+    days = calendar.dim_date(spark, *DAYS, as_of=dt.date(2024, 1, 20))
+    now = dt.datetime(2024, 1, 20, 6)
+
+    def land(layers, name, quantity):
+        _write(layers.landing("customers/a.csv"), [",".join(_names(RAW_CUSTOMERS)), _customer(1, "vip")])
+        _write(layers.landing("products/a.json"), [json.dumps({"product_id": "P1", "product_name": "Lamp", "category": "Home",
+                                                               "unit_cost": 6, "unit_price": 10, "is_active": True})])
+        _write(layers.landing(f"sales/{name}.csv"), [",".join(_names(RAW_SALES)), _sale(name, 1, "C1", quantity, 10.0, 0, "2024-01-15")])
+
+    for retry in (1, 2):
+        layers = pipeline.Layers(f"{folder}/{retry}")
+        land(layers, "O1", 2)
+        pipeline.stage(spark, layers, 1, now)
+        land(layers, "O2", 3)
+        pipeline.run_batch(spark, layers, retry, days, now)
+        pipeline.run_batch(spark, layers, 3, days, now)
+        fact = sinks.get_batch(spark, layers.curated("fact_sales"))
+        assert {r["order_id"]: r["quantity"] for r in fact.collect()} == {"O1": 2, "O2": 3}
+        mart = sinks.get_batch(spark, layers.analytics("agg_daily_sales"))
+        assert float(mart.agg(F.sum("net_revenue")).first()[0]) == 50.0
+        assert pipeline.open_batches(spark, layers) == []

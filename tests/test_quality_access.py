@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.tables import can_access_region
 from martloom.operators import access, lineage, quality
+from martloom.plans import pipeline
 
 AS_OF = dt.date(2024, 1, 20)
 
@@ -84,9 +85,9 @@ def test_impact_with_a_cycle(spark):
 
 
 def test_layer_lineage(spark):
-    edges = lineage.layer_edges(spark)
-    assert edges.count() == 15
-    assert lineage.downstream(edges, "CURATED.FACT_SALES").count() == 4
-    assert lineage.upstream(edges, "ANALYTICS.MV_CUSTOMER_360").first()["source_object"] == "CURATED.FACT_SALES"
-    assert lineage.impact(edges, "S3").filter("level = 4").count() == 4
-    assert lineage.lineage_map(edges).filter("source_layer = 'STAGING' AND target_layer = 'CURATED'").count() == 4
+    edges = pipeline.lineage_edges(spark)
+    assert lineage.downstream(edges, "curated.fact_sales").count() == 4
+    assert {r["source_object"] for r in lineage.upstream(edges, "analytics.customer_360").collect()} == {
+        "curated.fact_sales", "curated.dim_customer"}
+    assert lineage.impact(edges, "landing.sales").filter("level = 3").count() == 4
+    assert lineage.lineage_map(edges).filter("source_layer = 'staging' AND target_layer = 'curated'").count() == 4

@@ -65,6 +65,17 @@ def test_sessions_and_changes(spark, seed, limit):
     assert {r["id"]: (r["session_number"], r["change_number"]) for r in found.collect()} == expected
 
 
+def test_hot_null_key_is_cut_and_kept_together(spark):
+    df = spark.range(1000).select("id", F.lit(None).cast("bigint").alias("user"), (F.col("id") % 7).cast("int").alias("amount"),
+                                  F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"), F.lit("a").alias("kind"))
+    cut = slices.slice_hot(df, ["user"], F.col("id"), limit=100)
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 130
+    ranked = slices.rank_descending(df, ["user"], "amount", ["id"], "rank", limit=100)
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 1001))
+    assert slices.sessionize(df, "user", "ts", "id", 30, limit=100).agg(F.max("session_number")).first()[0] == 1
+
+
 def test_running_total_shares_ties(spark):
     df = spark.createDataFrame([(1, 1, 5), (1, 1, 6), (1, 2, 7), (2, 1, 1)], "k int, d int, v int")
     found = slices.running_total(df, ["k"], "d", "v", "t").collect()
