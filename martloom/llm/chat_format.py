@@ -178,11 +178,17 @@ def format_chats(parts: DataFrame, model: Model, key: str = "conv_id") -> DataFr
                            opens=[i == 0 for i in range(len(rows))])
         return rows[["k", "part", "h", "before", "after", "opens"]]
 
+    # Most transcripts are one part and have no seam.
+    several = seam.groupBy("k").count().filter(F.col("count") > 1).select(F.col("k").alias("_k"))
+    seam = seam.join(several, F.col("k").eqNullSafe(F.col("_k")), "left_semi")
     seams = materialise(seam.groupBy("k").applyInPandas(
         compose, f"k {kind}, part long, h long, before binary, after binary, opens boolean").dropDuplicates(["k", "part", "h"]), "seams")
-    told = measured.select(F.col("k").alias("_k"), F.col("part").alias("_part"), F.xxhash64("text").alias("_h"), "text")
-    told = told.join(seams, F.col("_k").eqNullSafe(F.col("k")) & (F.col("_part") == F.col("part")) & (F.col("_h") == F.col("h")))
-    told = told.select("k", "part", "text", "before", "after", "opens")
+    seams = seams.withColumnsRenamed({"k": "_k2", "part": "_part2", "h": "_h2"})
+    told = measured.select("k", "part", F.xxhash64("text").alias("h"), "text")
+    same = F.col("k").eqNullSafe(F.col("_k2")) & F.col("part").eqNullSafe(F.col("_part2")) & (F.col("h") == F.col("_h2"))
+    none = F.lit(bytes(8 * STATES))
+    told = told.join(seams, same, "left").select("k", "part", "text", F.coalesce("before", none).alias("before"),
+                                                 F.coalesce("after", none).alias("after"), F.coalesce("opens", F.lit(True)).alias("opens"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
