@@ -146,7 +146,8 @@ def put_batch(df: DataFrame, base: str, version: int, part_column: str | None =
         rows = [(version, "all", path)]
     else:
         copy = df.withColumn("_part", part_of(part_column))
-        copy.repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(path)
+        # Rows of a part come together, and a large part is spread over tasks by the size of its rows.
+        copy.hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(path)
         # The folders written, not the rows again.
         written = spark.read.schema("_part string").parquet(path)
         parts = [r["_part"] for r in written.select("_part").distinct().collect()]
