@@ -27,7 +27,13 @@ INSULTS = ("idiot", "idiots", "moron", "morons", "stupid", "dumb", "imbecile", "
            "scumbag", "halfwit")
 PATTERNS = ("shouting", "capitals", "question storm")
 SILENT = "no voter"
-EM_ROUNDS, NEWTON_ROUNDS, PULL = 8, 8, 1.0
+EM_ROUNDS = 8
+#: The classifier's features beside the voters: distinct words of a text and their stems of so many bytes, hashed to buckets.
+BUCKETS, BAG_STEM = 1 << 16, 5
+#: Steps of its fit at most, earlier ones a step remembers, penalties on weights of voters and of buckets, and when to stop.
+FIT_ROUNDS, MEMORY, PULL_VOTER, PULL_WORD, SETTLED = 20, 8, 0.1, 1.0, 1e-4
+#: Sums that steps depend on are added up as whole numbers of this size, so that they do not depend on the order of tasks.
+GRAIN = 2.0 ** -30
 #: Documents that the rates seen in the sample count as, beside all documents' votes.
 WEIGHT_OF_SAMPLE = 20
 #: Two voters that agree beyond their accuracies by this correlation share their weight.
@@ -107,15 +113,20 @@ class Lookup:
         return np.sort(np.repeat(rows, each)[enough] << 32 | self.order[at[enough]])
 
 
-def _found(column: pa.Array, lookup: Lookup) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, last row, sorted row << 32 | feature, bytes, starts): which known features stand in which text."""
+def _found(column: pa.Array, lookup: Lookup) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, last row, sorted row << 32 | feature, sorted row << 32 | bucket, bytes, starts) for runs of texts.
+
+    Features are the known ones that stand in a text; buckets are those of all its words and stems.
+    """
     for a, b, data, starts in text_parts(column):
-        rows, hashes = [], []
-        for owner, value in prefix_hashes(data, starts, STEMS, _PARTS):
+        rows, hashes, bags = [], [], []
+        for size, (owner, value) in zip((0, *STEMS), prefix_hashes(data, starts, STEMS, _PARTS)):
             at, number = lookup.find(value)
             rows.append(owner[at])
             hashes.append(number)
-        yield a, b, lookup.fired(np.concatenate(rows), np.concatenate(hashes)), data, starts
+            if size in (0, BAG_STEM):
+                bags.append(owner.astype(np.int64) << 32 | (value % np.uint64(BUCKETS)).astype(np.int64))
+        yield a, b, lookup.fired(np.concatenate(rows), np.concatenate(hashes)), np.unique(np.concatenate(bags)), data, starts
 
 
 def learn_lexicon(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +145,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, pairs, _, _ in _found(batch.column(0), lookup):
+            for a, b, pairs, *_ in _found(batch.column(0), lookup):
                 bits = np.zeros((b - a, len(features)), bool)
                 bits[pairs >> 32, pairs & 0xFFFFFFFF] = True
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], ["bits"])
@@ -165,18 +176,20 @@ def lexicon(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def votes(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
-    """Adds ``fired``: the numbers of the voters that speak up, in order, one byte each, and drops the text.
+    """Adds ``fired`` and ``bag`` and drops the text.
 
-    Each lexicon entry and each pattern votes for toxic where it stands; where none does, one voter votes for clean.
+    ``fired``: the numbers of the voters that speak up, in order, one byte each. Each lexicon entry and each pattern votes
+    for toxic where it stands; where none does, one voter votes for clean. ``bag``: the buckets of all words and stems of
+    the whole text, in order, two bytes each.
     """
     keep = [c for c in docs.columns if c != text]
-    schema = docs.select(*keep, F.lit(b"").alias("fired")).schema
+    schema = docs.select(*keep, F.lit(b"").alias("fired"), F.lit(b"").alias("bag")).schema
     lookup, patterns, silent = Lookup(*words), len(words[0]), len(words[0]) + len(PATTERNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fired = []
-            for a, b, known, data, starts in _found(batch.column(text), lookup):
+            fired, bag = [], []
+            for a, b, known, words_in, data, starts in _found(batch.column(text), lookup):
                 own = data[starts[0]:starts[-1]]
                 edge = starts - starts[0]
                 count = lambda signs: np.diff(np.append(0, np.cumsum(signs))[edge])
@@ -190,7 +203,11 @@ def votes(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], text: str = "te
                 for lo, hi in zip(bounds, bounds[1:]):
                     mine = numbers[lo:hi]
                     fired.append(mine.tobytes() + (b"" if (mine < patterns).any() else bytes([silent])))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(fired, pa.binary())], schema.names)
+                bounds = np.searchsorted(words_in >> 32, np.arange(b - a + 1))
+                numbers = (words_in & 0xFFFFFFFF).astype("<u2")
+                bag += [numbers[lo:hi].tobytes() for lo, hi in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], pa.array(fired, pa.binary()), pa.array(bag, pa.binary())], schema.names)
 
     return in_arrow(docs.select(*docs.columns), run, schema)
 
@@ -265,25 +282,101 @@ def label_model(patterns: DataFrame, seen: np.ndarray, rows: np.ndarray, prior:
     return weights
 
 
-def train_classifier(patterns: DataFrame, posterior: np.ndarray, m: int) -> np.ndarray:
-    """Logistic regression of the posterior labels on who fired, by Newton steps whose sums run over all documents.
+class Rows:
+    """Features of some documents: the voters but the silent one, the buckets, and a one."""
+
+    def __init__(self, fired: list[bytes], bags: list[bytes], m: int):
+        self.votes, self.m = _matrix(fired, m), m
+        self.buckets = np.frombuffer(b"".join(bags), "<u2").astype(np.int64)
+        self.owner = np.repeat(np.arange(len(bags)), [len(x) // 2 for x in bags])
+
+    def labels(self, posterior: np.ndarray) -> np.ndarray:
+        return _logistic(self.votes @ posterior[:-1] + posterior[-1])
+
+    def odds(self, w: np.ndarray) -> np.ndarray:
+        heard = self.m - 1
+        return (self.votes[:, :heard] @ w[:heard] + w[-1]
+                + np.bincount(self.owner, w[heard:-1][self.buckets], len(self.votes)))
+
+    def summed(self, x: np.ndarray) -> np.ndarray:
+        """For every feature the sum of ``x`` over the documents that have it."""
+        return np.concatenate([self.votes[:, :-1].T @ x, np.bincount(self.buckets, x[self.owner], BUCKETS), [x.sum()]])
+
+
+def _logistic(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+
+
+def _over_documents(cast: DataFrame, m: int, work, n: int) -> np.ndarray:
+    """Sums of what ``work`` makes of the ``Rows`` of a batch, ``n`` numbers, over all documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n)
+        for batch in batches:
+            total += work(Rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), m))
+        whole = np.rint(total / GRAIN).astype(np.int64)
+        at = np.flatnonzero(whole)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(whole[at])], ["i", "x"])
+
+    rows = in_arrow(cast.select("fired", "bag"), run, "i long, x long").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+    out = np.zeros(n)
+    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy() * GRAIN
+    return out
+
+
+def train_classifier(cast: DataFrame, posterior: np.ndarray, m: int) -> np.ndarray:
+    """Weights of the voters but the silent one, of the buckets and, last, a bias: logistic regression on whole texts.
 
-    It starts from the label model's weights, and few documents move it little from there.
+    Its labels are the label model's posteriors of the documents. It starts from zero, and the sums of every step run
+    over all documents. Steps follow the quasi-Newton method with the latest ``MEMORY`` changes (L-BFGS), first scaled
+    by each feature's own curvature; a step that makes the fit worse is cut.
     """
-    w = posterior.copy()
-    for _ in range(NEWTON_ROUNDS):
-        def step(fired, counts, w=w):
-            x = np.hstack([_matrix(fired, m), np.ones((len(fired), 1))])
-            y = 1 / (1 + np.exp(-(x @ posterior)))
-            p = 1 / (1 + np.exp(-(x @ w)))
-            return np.concatenate([x.T @ (counts * (p - y)), ((x * (counts * p * (1 - p))[:, None]).T @ x).ravel()])
-
-        sums = _dense(_summed(patterns, step), m + 1 + (m + 1) ** 2)
-        pull = np.full(m + 1, PULL)
-        slope, bend = sums[:m + 1] + pull * (w - posterior), sums[m + 1:].reshape(m + 1, m + 1) + np.diag(pull)
-        move = np.linalg.solve(bend, slope)
-        w = w - move * min(1.0, 4 / max(np.abs(move).max(), 1e-9))
-        if np.abs(move).max() < 1e-3:
+    n = m + BUCKETS
+    pull = np.concatenate([np.full(m - 1, PULL_VOTER), np.full(BUCKETS, PULL_WORD), [1e-6]])
+
+    def held(rows):
+        y = rows.labels(posterior)
+        return np.concatenate([rows.summed(np.ones(len(y))), [y.sum()]])
+
+    have = _over_documents(cast, m, held, n + 1)
+    have, toxic, total = have[:-1], have[-1], have[-2]
+    w = np.zeros(n)
+    if not total:
+        return w
+    rate = min(max(toxic / total, 1e-6), 1 - 1e-6)
+    w[-1] = np.log(rate / (1 - rate))
+    scale = 1 / (have * rate * (1 - rate) + pull)
+
+    def loss_and_slope(w):
+        def work(rows):
+            z, y = rows.odds(w), rows.labels(posterior)
+            return np.append(rows.summed(_logistic(z) - y), (np.logaddexp(0, z) - y * z).sum())
+
+        sums = _over_documents(cast, m, work, n + 1)
+        return sums[-1] + 0.5 * (pull * w * w).sum(), sums[:-1] + pull * w
+
+    loss, slope = loss_and_slope(w)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    part, move = 1.0, None
+    for _ in range(FIT_ROUNDS):
+        if move is None:
+            move, back = slope.copy(), []
+            for s, g in reversed(past):
+                back.append((s @ move) / (s @ g))
+                move -= back[-1] * g
+            move = move * scale * (1.0 if not past else (past[-1][0] @ past[-1][1]) / (past[-1][1] @ (scale * past[-1][1])))
+            for (s, g), b in zip(past, reversed(back)):
+                move += (b - (g @ move) / (s @ g)) * s
+            part = min(1.0, 4 / max(np.abs(move).max(), 1e-9)) * (1.0 if past else 0.1)
+        tried = w - part * move
+        new_loss, new_slope = loss_and_slope(tried)
+        if new_loss > loss:
+            part /= 4
+            continue
+        if (tried - w) @ (new_slope - slope) > 1e-12:
+            past = [*past, (tried - w, new_slope - slope)][-MEMORY:]
+        settled = loss - new_loss < SETTLED * loss
+        w, loss, slope, move = tried, new_loss, new_slope, None
+        if settled:
             break
     return w
 
@@ -293,7 +386,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """(key, held_out, score, predicted, further ``marks`` columns) for every document.
 
     Lexicons are learned from labelled rows that are not held out, at most ``SAMPLE`` of each label; whole texts are
-    read. All documents' votes fit the label model and the classifier. Null and empty texts get the score of a text
+    read. All documents' votes fit the label model; its posteriors of all documents are the labels of a classifier of
+    votes, words and stems, whose probability is the score. Null and empty texts get the score of a text
     without any vote; repeated rows are scored each; a null key is not held out; labels that are null, missing or not 0
     or 1 are ignored. Without labelled rows the plain insults alone vote, from accuracies taken for granted.
     """
@@ -316,18 +410,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         seen, rows = np.zeros((2, m)), np.array([1000.0, 1000.0])
         seen[1, :len(words[0])], seen[0, -1], seen[1, -1] = 200, 900, 10
     posterior = label_model(patterns, seen, rows, prior, m)
-    w = train_classifier(patterns, posterior, m)
-    scored = in_arrow(patterns.select("fired", "n"), _scorer(w, m), "fired binary, score double")
-    scored = cast.join(materialise(scored, "scores"), "fired")
+    w = train_classifier(cast, posterior, m)
+    keep = cast.drop("fired", "bag")
+    scored = in_arrow(cast, _scorer(w, m, keep.columns), keep.select("*", F.lit(0.0).alias("score")).schema)
     return scored.select(key, *marks, F.coalesce(is_held_out(key), F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _scorer(w: np.ndarray, m: int):
+def _scorer(w: np.ndarray, m: int, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = _matrix(batch.column(0).to_pylist(), m)
-            score = 1 / (1 + np.exp(-(v @ w[:-1] + w[-1])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["fired", "score"])
+            score = _logistic(Rows(batch.column("fired").to_pylist(), batch.column("bag").to_pylist(), m).odds(w))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score)], [*keep, "score"])
 
     return run

@@ -152,6 +152,23 @@ def test_learned_stem_and_changed_held_out_labels(spark):
     assert first == {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, turned).collect()}
 
 
+def test_words_beside_voters_raise_a_text_without_any_vote(spark):
+    docs, labels = labelled(spark, 400, True)
+    beside = docs.withColumn("text", toxicity.F.expr("IF(doc_id % 10 = 0, concat(text, ' grumpf'), text)"))
+    alone = documents(spark, [(1000, "w1 w2 grumpf"), (1001, "w1 w2 w3"), (1002, "w1 w2 zorgle3")])
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(beside.union(alone), labels).collect()}
+    assert got[1000] > 2 * got[1001] and got[1002] >= 0.3 > got[1001]
+
+
+def test_classifier_learns_weights_from_zero(spark):
+    m, odds = 3, np.array([4.0, 0.0, -1.0, -2.0])
+    bags = [np.array(x, "<u2").tobytes() for x in ([1, 2], [1, 3], [4], [5, 9])]
+    rows = [(bytearray([0]), bytearray(bags[i % 2])) if i < 20 else (bytearray([2]), bytearray(bags[2 + i % 2])) for i in range(60)]
+    w = toxicity.train_classifier(spark.createDataFrame(rows, "fired binary, bag binary"), odds, m)
+    x, buckets = w[:m - 1], w[m - 1:-1]
+    assert x[0] > 0.5 and buckets[1] > 0.3 and buckets[1] > buckets[2] > 0 > buckets[4] and buckets[7] == 0
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs, labels = labelled(spark, 30, False)
     odd = documents(spark, [(100, None), (101, ""), (102, "you idiot, you stupid moron"), (None, "x"), (100, None)]).union(docs)
