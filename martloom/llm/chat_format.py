@@ -9,10 +9,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.llm.ranks import LEAST_SLICES, slice_count
 from martloom.llm.shipping import in_arrow, ship
 from martloom.session import materialise
 
@@ -27,7 +28,7 @@ MARKER = re.compile(r"\s*(?:#{1,6}\s*|<\|?|\[|\*\*)?(" + "|".join(sorted(NAMES,
 #: Values of the three line features: the marker (or blank, or none), the length by powers of two, the last sign.
 KINDS = (len(ROLES) + 2, 12, 4)
 BLANK, PLAIN = len(ROLES), len(ROLES) + 1
-#: Turns of a part of a transcript.
+#: Turns of a part of a transcript, at most.
 PART = 256
 
 
@@ -229,9 +230,10 @@ def is_held_out(key: str) -> Column:
 
 
 def transcripts(turns: DataFrame, key: str = "conv_id", part: int = PART) -> DataFrame:
-    """(key, part, text, states) from rows of key, turn, role and text: ``part`` turns to a part.
+    """(key, part, text, states) from rows of key, turn, role and text: at most ``part`` turns to a part.
 
-    States are the true ones, a digit per line. Rows alike in all four columns are one turn; turns of one number stand in
+    A part is a block of ``part`` turn numbers; a block with more rows than that is cut by their rank, and the parts after
+    it are numbered on. States are the true ones, a digit per line. Rows alike in all four columns are one turn; turns of one number stand in
     the order of role and text; a null turn comes first; a null text is empty; other roles count as user.
     """
     rows = turns.select(key, "turn", "role", "text").distinct()
@@ -245,10 +247,59 @@ def transcripts(turns: DataFrame, key: str = "conv_id", part: int = PART) -> Dat
     states = F.concat(number.cast("string"), F.repeat((number + 1).cast("string"), F.size(F.split(said, "\n")) - 1))
     block = F.coalesce(F.floor(F.col("turn") / part), F.lit(0)).cast("long")
     turn = F.struct(F.coalesce("turn", F.lit(-1)).alias("turn"), F.col("role"), F.col("text"), said.alias("said"), states.alias("states"))
-    grouped = rows.select(key, block.alias("part"), turn.alias("t")).groupBy(key, "part").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    rows = rows.select(key, block.alias("_block"), turn.alias("t"))
+    sizes = materialise(turns.groupBy(key, block.alias("_block")).agg(F.count(F.lit(1)).alias("_n")), "blocks")
+    if sizes.filter(F.col("_n") > part).isEmpty():
+        return _texts(rows.withColumnRenamed("_block", "part"), key)
+    salt = F.pmod(F.xxhash64("t"), F.lit(LEAST_SLICES))
+    large = sizes.filter(F.col("_n") > part).select(key, "_block", F.explode(F.sequence(F.lit(0), F.lit(LEAST_SLICES - 1))).alias("_salt"))
+    salted = rows.withColumn("_salt", salt)
+    usual = _texts(_met(salted, large, [key, "_block", "_salt"], "left_anti").withColumnRenamed("_block", "part"), key)
+    cut, shifts = _cut(_met(salted, large, [key, "_block", "_salt"], "left_semi"), sizes, key, part)
+    usual = _met(usual.withColumnRenamed("part", "_block"), shifts, [key, "_block"], "left")
+    usual = usual.select(key, (F.col("_block") + F.coalesce("_shift", F.lit(0))).alias("part"), "text", "states")
+    return usual.unionByName(_texts(cut, key))
+
+
+def _met(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join in which null equals null; the keys are the left ones."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(other, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _texts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, part, text, states) from the turns ``t`` of each part."""
+    grouped = rows.groupBy(key, "part").agg(F.sort_array(F.collect_list("t")).alias("t"))
     return grouped.select(key, "part", F.array_join("t.said", "\n").alias("text"), F.array_join("t.states", "").alias("states"))
 
 
+def _cut(rows: DataFrame, sizes: DataFrame, key: str, part: int) -> tuple[DataFrame, DataFrame]:
+    """(key, part, t) of the turns of large blocks, and (key, _block, _shift): by how much parts move up in later blocks.
+
+    Rows are ranked within ranges of all rows in the order of key, block and turn, of about equal size, and ranks are
+    moved up by the sizes of the ranges before, so no task sees a whole block.
+    """
+    slices = slice_count(sizes.agg(F.sum("_n")).first()[0])
+    ranged = rows.repartitionByRange(slices, key, "_block", "t.turn", "t.role", "t.text")
+    ranged = materialise(ranged.select(key, "_block", "t", F.spark_partition_id().alias("_slice")), "ranges")
+    counts = materialise(ranged.groupBy(key, "_block", "_slice").agg(F.count(F.lit(1)).alias("_c")), "range sizes")
+    extra = counts.groupBy(key, "_block").agg((F.ceil(F.sum("_c") / part) - 1).alias("_extra"))
+    over = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    moved = _met(sizes.select(key, "_block"), extra, [key, "_block"], "left")
+    moved = moved.select(key, "_block", F.coalesce(F.sum("_extra").over(over), F.lit(0)).alias("_shift"))
+    shifts = materialise(moved.filter("_shift > 0"), "shifts")
+    earlier = Window.partitionBy(key, "_block").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(key, "_block", "_slice", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+    before = _met(before, shifts, [key, "_block"], "left")
+    inside = F.row_number().over(Window.partitionBy(key, "_block", "_slice").orderBy("t")) - 1
+    ranked = _met(ranged.withColumn("_inside", inside), before, [key, "_block", "_slice"], "left")
+    piece = F.floor((F.col("_before") + F.col("_inside")) / part)
+    return ranked.select(key, (F.col("_block") + piece + F.coalesce("_shift", F.lit(0))).cast("long").alias("part"), "t"), shifts
+
+
 def formatted(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     """Transcripts of all conversations, parsed with a model trained on those not held out."""
     found = materialise(transcripts(turns, key), "transcripts")

@@ -71,3 +71,19 @@ def test_odd_rows(spark, trained):
     assert chat.formatted(turns.limit(0)).count() == 0
     nulls = spark.createDataFrame([(1, 0, None), (None, 0, ""), (1, 0, None)], "conv_id long, part int, text string")
     assert chat.format_chats(nulls, trained).agg(F.sum("n_lines")).first()[0] == 3
+
+
+def test_a_large_conversation_is_cut_by_rank(spark):
+    rows = [(None, i % 8 if i % 3 else None, ("user", "assistant")[i % 2], f"line {i}") for i in range(1500)]
+    rows += [(5, 0, "user", f"x{i}") for i in range(600)] + [(5, 300, "user", "y"), (5, 600, "user", "z"), (6, 0, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = {r["conv_id"]: r for r in chat.transcripts(turns.filter("conv_id IS NULL OR turn < 256"), part=10000).collect()}
+    got = {}
+    for r in sorted(chat.transcripts(turns).collect(), key=lambda r: r["part"]):
+        assert sum(int(x) % 2 == 0 for x in r["states"]) <= chat.PART
+        got.setdefault(r["conv_id"], []).append(r)
+    for key, n in ((None, 6), (5, 3), (6, 1)):
+        own = got[key][:n]
+        assert "\n".join(r["text"] for r in own) == want[key]["text"] and "".join(r["states"] for r in own) == want[key]["states"]
+    assert {k: [r["part"] for r in v] for k, v in got.items()} == {None: [0, 1, 2, 3, 4, 5], 5: [0, 1, 2, 3, 4], 6: [0]}
+    assert sum(r["n_lines"] for r in chat.formatted(turns).collect()) == sum(len(r["states"]) for v in got.values() for r in v)
