@@ -64,7 +64,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
 
     The score is the inner product of the vectors' components as floor(scale * x). Ties go to smaller ids. Vectors null or
     with null, not-a-number or infinite components, and rows without an id, take no part; vectors may differ in length
-    (missing components count 0); repeated rows are candidates each, and a repeated query's rows give one list.
+    (missing components count 0); repeated rows are candidates each, and a repeated query's rows give one list, that of its
+    least vector.
 
     Vectors meet in blocks. 1: each block gathers, list by list, the local best of every query, and passes on the totals
     of a few. The k-th highest of all these is a safe cutoff. 2: an entry whose scores all lie below cutoff / lists
@@ -80,7 +81,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     kind = vectors.schema[key].dataType.simpleString()
     block = lambda c, m: F.pmod(F.xxhash64("id", F.lit(c)), F.lit(m)).cast("int")
     numbers = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    queries = base.filter("q").dropDuplicates(["id"]).select("id", "v", block("q", q_blocks).alias("qb"))
+    queries = base.filter("q").groupBy("id").agg(F.min("v").alias("v"))
+    queries = materialise(queries.select("id", "v", block("q", q_blocks).alias("qb")), "queries")
     candidates = base.select(F.col("id").alias("cid"), F.col("v").alias("cv"), block("c", c_blocks).alias("cb"),
                              numbers(q_blocks).alias("qb"))
 

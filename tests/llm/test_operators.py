@@ -210,6 +210,13 @@ def test_top_k_of_large_numbers(spark):
     assert got == plain_top(vectors, 3)
 
 
+def test_a_repeated_query_takes_its_least_vector(spark):
+    vectors = [(i, [float(i), 50.0 - i]) for i in range(1, 20)]
+    frame = spark.createDataFrame([(20, [3.0, 1.0]), (20, [1.0, 3.0]), (20, [2.0, 0.0]), *vectors], "vec_id long, embedding array<float>")
+    got = {tuple(r) for r in topk_search.top_k(frame.coalesce(1), toxicity.F.col("vec_id") == 20, 5).collect()}
+    assert got == plain_top([(20, [1.0, 3.0]), *vectors], 5)
+
+
 # Urls
 
 
