@@ -103,7 +103,7 @@ def encode(texts: list[str | None], path: str, special: str = "<|") -> tuple[np.
         else:
             own.append(int(i))
     if own:
-        if strange.any():
+        if len(own) < len(texts):  # strange and empty texts leave no gap
             points = np.frombuffer("\n".join(texts[i] for i in own).encode("utf-32-le"), np.uint32)
             kinds = kind[points]
         small = points < len(lower)

@@ -168,3 +168,12 @@ def test_bin_plan_uses_all_pieces():
         for n, k in bin_.items():
             used[n] += copies * k
     assert used == histogram
+
+
+def test_empty_texts_among_plain_ones_keep_ids_apart():
+    texts = ["the cat", "", "naïve cat", None, "", "a re-do of 12 things", "x"]
+    library = Tokenizer.from_file(WORDS)
+    ids, counts = token_ids.encode(texts, WORDS)
+    ends = np.cumsum(counts)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == [
+        library.encode(t or "", add_special_tokens=False).ids for t in texts]
