@@ -15,8 +15,10 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 NONE = -1
-#: Cells of the tables before they are begun anew: 5 bytes each, 9 with the tokens.
-MOST_CELLS = 34_000_000
+#: Cells of the tables before they are begun anew: 5 bytes each, 6 where they keep tokens.
+MOST_CELLS = 12_000_000
+#: Pairs of tokens of which it is remembered whether one may follow the other.
+MOST_PAIRS = 200_000
 
 
 class Transducer:
@@ -26,9 +28,10 @@ class Transducer:
                  breaks: tuple[int, ...] = (), with_tokens: bool = False, most_cells: int = MOST_CELLS):
         """``breaks``: tokens that the symbols from ``symbols`` on stand for; no token reaches over one.
 
-        ``with_tokens``: keep the token of every transition too, not only the number of tokens.
+        ``with_tokens``: keep the token that ends at every transition, and not the number of tokens.
         """
         self.with_tokens = with_tokens
+        self.keys: list[tuple] = []
         self.rank, self.alphabet, self.breaks, self.most_cells = rank, symbols, breaks, most_cells
         self.children: list[dict[int, int]] = [{}]
         self.ends: list[int] = [NONE]
@@ -56,31 +59,50 @@ class Transducer:
         self.clear()
 
     def clear(self) -> None:
+        """Begins the tables anew, with room for few states and symbols."""
         self.keys: list[tuple] = []
         self.numbers: dict[tuple, int] = {}
         self.column = np.full(self.alphabet + len(self.breaks), NONE, np.int32)
         self.symbol: list[int] = []
-        self.tables(1024, 64)
+        self.tables(64)
         self.state(((0, NONE, 0),))
 
-    def tables(self, states: int, columns: int) -> None:
-        """Makes room, keeping what is there."""
-        old = (self.next, self.gain, self.last) if self.keys else None
-        self.next = np.full((states, columns), NONE, np.int32)
-        self.gain = np.zeros((states, columns), np.int8)
-        self.last = np.zeros((states, columns) if self.with_tokens else (0, 0), np.int32)
-        for new, was in zip((self.next, self.gain, self.last), old or ()):
-            new[:was.shape[0], :was.shape[1]] = was
+    def tables(self, columns: int) -> None:
+        """Empty tables, or wider ones with what is there. Memory is taken up as cells are filled.
+
+        A cell of ``next`` is 0 while unknown, else the state's number and 1. ``gain`` has the tokens counted, ``last``
+        the token that ends; one of the two is kept.
+        """
+        old = (self.next, self.gain, self.last) if self.keys else ()
+        shape = (max(len(self.keys) + 1, self.most_cells // columns), columns)
+        small = max(self.parts) < 1 << 16 and not self.breaks
+        self.next = np.zeros(shape, np.int32)
+        self.gain = np.zeros((0, 0) if self.with_tokens else shape, np.int8)
+        self.last = np.zeros(shape if self.with_tokens else (0, 0), np.uint16 if small else np.int32)
+        for new, was in zip((self.next, self.gain, self.last), old):
+            rows = min(len(self.keys), len(was))
+            new[:rows, :was.shape[1]] = was[:rows]
 
     def state(self, key: tuple) -> int:
         number = self.numbers.get(key)
         if number is None:
             number = self.numbers[key] = len(self.keys)
             if number >= len(self.next):
-                self.tables(len(self.next) * 3 // 2, self.next.shape[1])
+                self.most_cells, limit = 2 * self.next.size, self.most_cells
+                self.tables(self.next.shape[1])
+                self.most_cells = limit
             self.keys.append(key)
         return number
 
+    def renewed(self, states: np.ndarray) -> np.ndarray:
+        """Forgets all states but the first and these, and gives the new numbers of these."""
+        kept, place = np.unique(states, return_inverse=True)
+        keys = [self.keys[s] for s in kept.tolist()]
+        self.keys, self.numbers = [], {}
+        self.tables(self.next.shape[1])
+        self.state(((0, NONE, 0),))
+        return np.array([self.state(key) for key in keys], np.int32)[place]
+
     def compact(self, symbols: np.ndarray) -> np.ndarray:
         """The table columns of symbols; a symbol gets one when first seen."""
         found = self.column[symbols]
@@ -89,7 +111,7 @@ class Transducer:
                 self.column[s] = len(self.symbol)
                 self.symbol.append(int(s))
             if len(self.symbol) > self.next.shape[1]:
-                self.tables(len(self.next), max(2 * self.next.shape[1], len(self.symbol)))
+                self.tables(max(2 * self.next.shape[1], len(self.symbol)))
             found = self.column[symbols]
         return found
 
@@ -111,6 +133,8 @@ class Transducer:
             return self._whole[after]
         known = self._fit.get((before, after))
         if known is None:
+            if len(self._fit) >= MOST_PAIRS:
+                self._fit.clear()
             a, b = self.parts[before], self.parts[after]
             known = (a[-1], b[0]) not in self.follows or self.merged(a + b) == [a, b]
             self._fit[before, after] = known
@@ -120,9 +144,11 @@ class Transducer:
         """Adds a transition to the tables."""
         symbol = self.symbol[column]
         if symbol >= self.alphabet:
-            self.next[state, column], self.gain[state, column] = 0, self.breaks[symbol - self.alphabet]
+            self.next[state, column] = 1
             if self.with_tokens:
                 self.last[state, column] = NONE
+            else:
+                self.gain[state, column] = self.breaks[symbol - self.alphabet]
             return
         key = self.keys[state]
         end = key[0][1]
@@ -142,20 +168,23 @@ class Transducer:
         token, gain = found
         end = token if self.parts[token][-1] in self.inner else NONE
         new = ((0, end, 0), *((c, b, s + gain) for c, b, s in paths)) if end != NONE else ((0, NONE, 0),)
-        self.next[state, column], self.gain[state, column] = self.state(new), gain
+        number = self.state(new)
+        self.next[state, column] = number + 1
         if self.with_tokens:
             self.last[state, column] = token
+        else:
+            self.gain[state, column] = gain
 
     def run(self, stream: np.ndarray, starts: np.ndarray, ends: np.ndarray, states: np.ndarray | None = None,
             last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Runs stretches of a stream of symbols side by side, each from its state (without: from the first).
 
         Returns the states at their ends and the tokens counted. ``last`` (as long as the stream) gets the token that
-        ends at every symbol.
+        ends at every symbol. Tables that are full are begun anew with the states at hand; not if states were given, as
+        the caller may hold further ones.
         """
+        fresh = states is None
         if states is None:
-            if self.next.size > self.most_cells:
-                self.clear()
             states = np.zeros(len(starts), np.int32)
         columns = self.compact(stream)
         order = np.argsort(starts - ends, kind="stable")
@@ -168,15 +197,20 @@ class Transducer:
             at = starts[:k] + i
             cell = own[:k].astype(np.int64) * self.next.shape[1] + columns[at]
             new = self.next.ravel()[cell]
-            if (new < 0).any():
-                missing = np.unique(own[:k][new < 0].astype(np.int64) << 32 | columns[at][new < 0])
+            if not new.all():
+                missing = np.unique(own[:k][new == 0].astype(np.int64) << 32 | columns[at][new == 0])
+                if fresh and (len(self.keys) + len(missing)) * self.next.shape[1] > self.most_cells:
+                    own = self.renewed(own)
+                    cell = own[:k].astype(np.int64) * self.next.shape[1] + columns[at]
+                    missing = np.unique(own[:k].astype(np.int64) << 32 | columns[at])
                 for pair in missing.tolist():
                     self.step(pair >> 32, pair & 0xFFFFFFFF)
                 new = self.next.ravel()[cell]
-            counts[:k] += self.gain.ravel()[cell]
+            if not self.with_tokens:
+                counts[:k] += self.gain.ravel()[cell]
             if last is not None:
                 last[at] = self.last.ravel()[cell]
-            own[:k] = new
+            own[:k] = new - 1
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
         return own[back], counts[back]

@@ -14,7 +14,7 @@ from martloom.llm.bpe import Transducer
 from martloom.llm.shipping import in_arrow
 
 #: Characters of a chunk, and characters that are held at once.
-CHUNK, HELD = 512, 1_000_000
+CHUNK, HELD = 512, 400_000
 SPACE = "▁"
 
 
