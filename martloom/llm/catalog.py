@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chat_format, licenses, mixing, near_duplicates, packing, quality_rules, token_counts, topk_search, toxicity, url_filters
+from martloom.llm import chat_format, licenses, mixing, near_duplicates, packing, quality_rules, token_counts, token_files, topk_search, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str | Callable[[], str]] = {}
@@ -232,3 +232,8 @@ FROM counts""".replace("PHRASES", "|".join(quality_rules.BOILERPLATE))
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality_rules.quality_rules(docs).drop("text", "clean_text", "lost")
+
+
+@query("op12_token_files")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.stored_tokens(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
