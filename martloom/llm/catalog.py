@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chat_format, licenses, mixing, near_duplicates, packing, quality_rules, token_counts, token_files, topk_search, toxicity, url_filters
+from martloom.llm import chat_format, lexical_search, licenses, mixing, near_duplicates, packing, quality_rules, token_counts, token_files, topk_search, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str | Callable[[], str]] = {}
@@ -234,6 +234,33 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(docs).drop("text", "clean_text", "lost")
 
 
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+d AS (SELECT row_number() OVER () AS r, doc_id, w, len(w) AS n FROM t WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+df AS (SELECT term, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, nn),
+m AS (SELECT r, doc_id, (50 + (50 * n * nn) // l)::BIGINT AS m FROM d, total),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op12_token_files")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.stored_tokens(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
