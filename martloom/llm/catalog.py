@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chat_format, lexical_search, licenses, mixing, near_duplicates, packing, quality_rules, token_counts, token_files, topk_search, toxicity, url_filters
+from martloom.llm import chat_format, lexical_search, licenses, mixing, near_duplicates, packing, quality_rules, spelling, token_counts, token_files, topk_search, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str | Callable[[], str]] = {}
@@ -264,3 +264,45 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_token_files")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.stored_tokens(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384)
+         ELSE c >> 1 END) ORDER BY b) AS crc FROM (SELECT unnest(range(256)) AS b)),
+run AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS times FROM run WHERE length(run) >= 5 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length(s) + 1),
+         lambda i: ('0x' || substr(hex(s), 2 * i - 1, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT run, times, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS s FROM counted), crc_table),
+lost AS (
+  SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+         ELSE run END AS word FROM hashed),
+v AS (SELECT word, sum(times)::BIGINT AS n FROM lost WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+gaps AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS gap
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b, b.n FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM v a JOIN gaps b ON a.word = b.gap
+  UNION SELECT b.word, a.word, a.n FROM v a JOIN gaps b ON a.word = b.gap),
+near AS (SELECT a AS word, count(*)::BIGINT AS n_near, max(n) AS most FROM pairs GROUP BY a),
+best AS (SELECT a AS word, min(b) AS form FROM pairs JOIN near ON a = near.word AND n = most GROUP BY a),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 2 * v.n THEN form END AS form,
+         CASE WHEN most >= 2 * v.n THEN most END AS form_n
+  FROM v LEFT JOIN near USING (word) LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS last, 0 AS steps FROM formed
+  UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN formed f ON f.word = c.last WHERE f.form IS NOT NULL),
+ends AS (SELECT word, max_by(last, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
