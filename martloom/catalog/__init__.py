@@ -6,7 +6,7 @@ import importlib
 
 from martloom.catalog import registry
 
-FAMILIES = ("marts", "kpis", "relational", "functions", "quality", "history", "files", "streams", "logs")
+FAMILIES = ("marts", "kpis", "relational", "functions", "quality", "history", "files", "streams", "logs", "batch")
 
 
 def _load() -> None:

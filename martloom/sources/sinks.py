@@ -138,8 +138,12 @@ def part_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("none"))
 
 
-def put_batch(df: DataFrame, base: str, version: int, part_column: str | None = None) -> None:
-    """Writes batch ``version``; with ``part_column`` only the parts in ``df`` get a new snapshot."""
+def put_batch(df: DataFrame, base: str, version: int, part_column: str | None = None,
+              parts: Sequence[str] = ()) -> None:
+    """Writes batch ``version``; with ``part_column`` only the parts in ``df`` get a new snapshot.
+
+    Of ``parts`` (names by ``part_of``), those without a row in ``df`` are empty from this version on.
+    """
     spark, path = df.sparkSession, f"{base}/data/batch={version}"
     if part_column is None:
         df.write.mode("overwrite").parquet(path)
@@ -150,20 +154,21 @@ def put_batch(df: DataFrame, base: str, version: int, part_column: str | None =
         copy.hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(path)
         # The folders written, not the rows again.
         written = spark.read.schema("_part string").parquet(path)
-        parts = [r["_part"] for r in written.select("_part").distinct().collect()]
-        rows = [(version, str(p), f"{path}/_part={p}") for p in parts]
+        found = [r["_part"] for r in written.select("_part").distinct().collect()]
+        rows = [(version, str(p), f"{path}/_part={p}") for p in found]
+        rows += [(version, p, None) for p in parts if p not in found]
     spark.createDataFrame(rows, BATCH_COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").json(
         f"{base}/{COMMITS}/batch={version}")
 
 
 def get_batch(spark: SparkSession, base: str, schema: str | None = None, before: int | None = None,
               parts: Sequence[str] | None = None) -> DataFrame | None:
-    """The newest snapshot of every part, or None if nothing is committed."""
+    """The newest snapshot of every part, or None if nothing is committed or all parts are empty."""
     known = _batch_commits(spark, base, before)
     if parts is not None:
         known = known.filter(F.col("part").isin(list(parts)))
     newest = known.groupBy("part").agg(F.max_by("path", "version").alias("path"))
-    paths = [r["path"] for r in newest.collect()]
+    paths = [r["path"] for r in newest.filter("path IS NOT NULL").collect()]
     if not paths:
         return None
     return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)

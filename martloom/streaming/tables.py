@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators import dimensions, facts
-from martloom.sources import sinks
+from martloom.sources import keymap, sinks
 from martloom.streaming.ingest import per_batch
 
 
@@ -49,16 +49,8 @@ def keep_scd2(changes: DataFrame, base: str, initial: DataFrame, key: str, hash_
 
 def keep_facts(rows: DataFrame, base: str, keys: Sequence[str], order: Sequence[Column], part: str, checkpoint: str,
                trigger: dict | None = None) -> StreamingQuery:
-    """Facts placed by their own date, however late: only the touched ``part`` values are rewritten.
-
-    A business key must stay in one part (an order keeps its date).
-    """
+    """Facts placed by their own date, however late: only the ``part`` values that keys enter or leave are rewritten."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        touched = [r[0] for r in batch.select(sinks.part_of(part)).distinct().collect()]
-        stored = sinks.get_batch(spark, base, before=batch_id, parts=touched)
-        empty = batch.limit(0) if stored is None else stored
-        merged = facts.upsert_late(empty.select(*batch.columns), batch, order, keys)
-        sinks.put_batch(merged, base, batch_id, part)
+        keymap.upsert_parts(batch, base, keys, order, part, batch_id)
 
     return per_batch(rows, checkpoint, write, trigger)

@@ -113,3 +113,42 @@ def test_a_batch_that_died_is_loaded_by_the_next_run(spark, folder):
         mart = sinks.get_batch(spark, layers.analytics("agg_daily_sales"))
         assert float(mart.agg(F.sum("net_revenue")).first()[0]) == 50.0
         assert pipeline.open_batches(spark, layers) == []
+
+
+def _land_dimensions(layers):
+    _write(layers.landing("customers/a.csv"), [",".join(_names(RAW_CUSTOMERS)), _customer(1, "vip")])
+    _write(layers.landing("products/a.json"), [json.dumps({"product_id": "P1", "product_name": "Lamp", "category": "Home",
+                                                           "unit_cost": 6, "unit_price": 10, "is_active": True})])
+
+
+def test_a_batch_without_sales_ends(spark, folder):
+    layers = pipeline.Layers(folder)
+    days = calendar.dim_date(spark, *DAYS, as_of=dt.date(2024, 1, 20))
+    _land_dimensions(layers)
+    pipeline.run_batch(spark, layers, 1, days, dt.datetime(2024, 1, 20, 6))
+    assert pipeline.open_batches(spark, layers) == []
+    _write(layers.landing("sales/a.csv"), [",".join(_names(RAW_SALES)), _sale("O1", 1, "C1", 2, 10.0, 0, "2024-01-15")])
+    pipeline.run_batch(spark, layers, 2, days, dt.datetime(2024, 1, 21, 6))
+    stored = sinks.get_batch(spark, layers.curated("fact_sales"))
+    assert stored.count() == 1
+    expected = pipeline._table(spark, pipeline.Layers(f"{folder}/none"), "fact_sales", pipeline.SALES_FACT).schema
+    assert {f.name: f.dataType for f in stored.schema} == {f.name: f.dataType for f in expected}
+
+
+def test_a_line_whose_date_moves_stands_once(spark, folder):
+    layers = pipeline.Layers(folder)
+    days = calendar.dim_date(spark, *DAYS, as_of=dt.date(2024, 1, 20))
+    _land_dimensions(layers)
+    header = ",".join(_names(RAW_SALES))
+    _write(layers.landing("sales/a.csv"), [header, _sale("O1", 1, "C1", 2, 10.0, 0, "2024-01-15"),
+                                           _sale("O2", 1, "C1", 1, 10.0, 0, "2024-02-03")])
+    pipeline.run_batch(spark, layers, 1, days, dt.datetime(2024, 1, 20, 6))
+    _write(layers.landing("sales/b.csv"), [header, _sale("O1", 1, "C1", 2, 10.0, 0, "2024-02-03")])
+    pipeline.run_batch(spark, layers, 2, days, dt.datetime(2024, 2, 4, 6))
+    for _again in range(2):
+        fact = sinks.get_batch(spark, layers.curated("fact_sales"))
+        assert {(r["order_id"], r["date_key"]) for r in fact.collect()} == {("O1", 20240203), ("O2", 20240203)}
+        assert fact.count() == 2
+        pipeline.load_facts(spark, layers, 2, days)
+    mart = sinks.get_batch(spark, layers.analytics("agg_daily_sales"))
+    assert float(mart.agg(F.sum("net_revenue")).first()[0]) == 30.0
