@@ -3,7 +3,8 @@
 Facts are joined to the three or four columns a mart needs, grouped by the
 integer date key, and the calendar columns are attached after grouping.
 Group keys are coarse, so partial aggregation runs before each shuffle, and
-the distinct counts shuffle (group, id) pairs, which spreads a hot group.
+a distinct count shuffles (group, id) pairs, which spreads a hot group. Where
+customers are counted too, orders are counted by a mark on one line of each.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from martloom.functions import dates as D
 from martloom.functions.measures import average, count_if, mean, pct, ratio
-from martloom.operators.keys import small_side
 from martloom.operators import periods
+from martloom.operators.distinct import mark_first
+from martloom.operators.keys import attach_scalars, small_side
 
 
 def _distinct(column: str) -> Column:
@@ -40,11 +42,13 @@ def _on_calendar(by_day: DataFrame, calendar: DataFrame, columns: dict[str, str]
 
 
 def daily_sales_summary(fact: DataFrame, calendar: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:
+    keys = ["date_key", "region", "store_type", "product_category"]
+    lines = _by_line(fact, store, ["region", "store_type"], product, ["category"])
     by_day = (
-        _by_line(fact, store, ["region", "store_type"], product, ["category"])
-        .groupBy("date_key", "region", "store_type", F.col("category").alias("product_category"))
+        mark_first(lines.withColumnRenamed("category", "product_category"), keys, "order_id", "_order")
+        .groupBy(*keys)
         .agg(
-            _distinct("order_id").alias("order_count"),
+            F.sum("_order").alias("order_count"),
             _distinct("customer_key").alias("unique_customers"),
             F.sum("quantity").alias("units_sold"),
             F.sum("gross_amount").alias("gross_revenue"),
@@ -84,13 +88,16 @@ def daily_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product:
     """Daily mart by region, store type, category and segment, with two earlier periods."""
     segments = customer.filter("is_current").select("customer_key", "customer_segment")
     keys = ["region", "store_type", "product_category", "customer_segment"]
-    by_day = (
+    lines = (
         _by_line(fact, store, ["region", "store_type"], product, ["category"])
         .join(small_side(segments), "customer_key", "left")
         .withColumnRenamed("category", "product_category")
+    )
+    by_day = (
+        mark_first(lines, ["date_key", *keys], "order_id", "_order")
         .groupBy("date_key", *keys)
         .agg(
-            _distinct("order_id").alias("order_count"),
+            F.sum("_order").alias("order_count"),
             _distinct("customer_key").alias("unique_customers"),
             F.sum("quantity").alias("units_sold"),
             F.sum("gross_amount").alias("gross_revenue"),
@@ -108,12 +115,16 @@ def daily_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product:
 
 def monthly_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:
     months = calendar.select("date_key", "year_number", "month_number", "month_name")
-    out = (
+    groups = ["year_number", "month_number", "month_name", "region", "product_category"]
+    lines = (
         _by_line(fact, store, ["region"], product, ["category"])
-        .join(months, "date_key")
-        .groupBy("year_number", "month_number", "month_name", "region", F.col("category").alias("product_category"))
+        .join(months, "date_key").withColumnRenamed("category", "product_category")
+    )
+    out = (
+        mark_first(lines, groups, "order_id", "_order")
+        .groupBy(*groups)
         .agg(
-            _distinct("order_id").alias("order_count"),
+            F.sum("_order").alias("order_count"),
             _distinct("customer_key").alias("unique_customers"),
             F.sum("quantity").alias("units_sold"),
             F.sum("net_amount").alias("net_revenue"),
@@ -195,8 +206,8 @@ def customer_segments(customers: DataFrame, active_days: int = 90) -> DataFrame:
 
 
 def product_activity(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("product_key").agg(
-        _distinct("order_id").alias("times_ordered"),
+    return mark_first(fact, ["product_key"], "order_id", "_order").groupBy("product_key").agg(
+        F.sum("_order").alias("times_ordered"),
         _distinct("customer_key").alias("unique_buyers"),
         F.sum("quantity").alias("units_sold"),
         F.sum("net_amount").alias("total_revenue"),
@@ -264,17 +275,22 @@ def customer_pattern_report(fact: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def fact_quality_summary(fact: DataFrame) -> DataFrame:
-    return fact.agg(
+    """Totals of all facts. Each distinct count is a pass over its own column."""
+    totals = fact.agg(
         F.count("*").alias("total_rows"),
-        _distinct("order_id").alias("unique_orders"),
-        _distinct("customer_key").alias("unique_customers"),
-        _distinct("product_key").alias("unique_products"),
-        _distinct("store_key").alias("unique_stores"),
         F.min("transaction_timestamp").alias("earliest_transaction"),
         F.max("transaction_timestamp").alias("latest_transaction"),
         F.sum("net_amount").alias("total_revenue"),
         average(F.col("net_amount")).alias("avg_order_value"),
     )
+    counted = {"order_id": "unique_orders", "customer_key": "unique_customers", "product_key": "unique_products",
+               "store_key": "unique_stores"}
+    for column, name in counted.items():
+        # Grouped first: Spark would merge plain distinct counts into one pass again.
+        ids = fact.filter(F.col(column).isNotNull()).select(column).distinct()
+        totals = attach_scalars(totals, ids.agg(F.count("*").alias(name)))
+    return totals.select("total_rows", *counted.values(), "earliest_transaction", "latest_transaction", "total_revenue",
+                         "avg_order_value")
 
 
 def category_summary(product: DataFrame) -> DataFrame:
