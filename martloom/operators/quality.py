@@ -128,6 +128,12 @@ def mark_clicks(events: DataFrame) -> DataFrame:
     return _mark(events, [F.col(c).isNull() for c in ("event_id", "session_id", "event_timestamp", "event_type")])
 
 
+def mark_inventory(stock: DataFrame) -> DataFrame:
+    """Flags counts without an id, product, store or time, and negative ones."""
+    missing = [F.col(c).isNull() for c in ("inventory_id", "product_id", "store_id", "snapshot_timestamp")]
+    return _mark(stock, [*missing, F.col("quantity_on_hand") < 0, F.col("quantity_reserved") < 0])
+
+
 # Curated rules by dimension of quality
 
 def _missing(column: str) -> Column:

@@ -83,17 +83,21 @@ def daily_sales_by_store(fact: DataFrame, calendar: DataFrame, store: DataFrame,
     })
 
 
-def daily_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product: DataFrame,
-                customer: DataFrame) -> DataFrame:
-    """Daily mart by region, store type, category and segment, with two earlier periods."""
+#: What a group of the daily and of the monthly mart is.
+DAILY_KEYS = ("region", "store_type", "product_category", "customer_segment")
+MONTHLY_KEYS = ("region", "product_category")
+
+
+def daily_groups(fact: DataFrame, store: DataFrame, product: DataFrame, customer: DataFrame) -> DataFrame:
+    """The daily mart's groups by date key, each from its own day's facts alone."""
     segments = customer.filter("is_current").select("customer_key", "customer_segment")
-    keys = ["region", "store_type", "product_category", "customer_segment"]
+    keys = list(DAILY_KEYS)
     lines = (
         _by_line(fact, store, ["region", "store_type"], product, ["category"])
         .join(small_side(segments), "customer_key", "left")
         .withColumnRenamed("category", "product_category")
     )
-    by_day = (
+    return (
         mark_first(lines, ["date_key", *keys], "order_id", "_order")
         .groupBy("date_key", *keys)
         .agg(
@@ -107,20 +111,32 @@ def daily_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product:
             mean(F.col("discount_percent")).alias("avg_discount_pct"),
         )
     )
-    out = _on_calendar(by_day, calendar, {"full_date": "sale_date"})
+
+
+def daily_from_groups(groups: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The daily mart from its groups: sale dates and two earlier periods."""
+    keys = list(DAILY_KEYS)
+    out = _on_calendar(groups, calendar, {"full_date": "sale_date"})
     out = periods.with_lag(out, keys, ["sale_date"], "net_revenue", 1, "prev_day_revenue", "dod_revenue_change_pct")
     return periods.with_lag(out, keys, ["sale_date"], "net_revenue", 7,
                             "same_day_last_week_revenue", "wow_revenue_change_pct")
 
 
-def monthly_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:
+def daily_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product: DataFrame,
+                customer: DataFrame) -> DataFrame:
+    """Daily mart by region, store type, category and segment, with two earlier periods."""
+    return daily_from_groups(daily_groups(fact, store, product, customer), calendar)
+
+
+def monthly_groups(fact: DataFrame, calendar: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:
+    """The monthly mart's groups, each from its own month's facts alone."""
     months = calendar.select("date_key", "year_number", "month_number", "month_name")
     groups = ["year_number", "month_number", "month_name", "region", "product_category"]
     lines = (
         _by_line(fact, store, ["region"], product, ["category"])
         .join(months, "date_key").withColumnRenamed("category", "product_category")
     )
-    out = (
+    return (
         mark_first(lines, groups, "order_id", "_order")
         .groupBy(*groups)
         .agg(
@@ -131,12 +147,20 @@ def monthly_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, produc
             mean(F.col("net_amount")).alias("avg_order_value"),
         )
     )
-    keys, order = ["region", "product_category"], ["year_number", "month_number"]
+
+
+def monthly_from_groups(groups: DataFrame) -> DataFrame:
+    """The monthly mart from its groups: two earlier periods and the year to date."""
+    out, keys, order = groups, list(MONTHLY_KEYS), ["year_number", "month_number"]
     out = periods.with_lag(out, keys, order, "net_revenue", 1, "prev_month_revenue", "mom_change_pct")
     out = periods.with_lag(out, keys, order, "net_revenue", 12, "same_month_last_year_revenue", "yoy_change_pct")
     return periods.running_sum(out, ["year_number", *keys], ["month_number"], "net_revenue", "ytd_revenue")
 
 
+def monthly_sales(fact: DataFrame, calendar: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:
+    return monthly_from_groups(monthly_groups(fact, calendar, store, product))
+
+
 def customer_activity(fact: DataFrame, calendar: DataFrame, keys: Sequence[str] = ("customer_key",)) -> DataFrame:
     """Purchases per customer, grouped before any customer column is joined."""
     days = calendar.select("date_key", "full_date")
@@ -173,8 +197,13 @@ def with_activity(customer: DataFrame, fact: DataFrame, calendar: DataFrame, by:
 
 def customer_360(customer: DataFrame, fact: DataFrame, calendar: DataFrame, as_of: dt.date,
                  by: str = "customer_key") -> DataFrame:
+    return customer_overview(with_activity(customer, fact, calendar, by), as_of)
+
+
+def customer_overview(active: DataFrame, as_of: dt.date) -> DataFrame:
+    """The columns of ``customer_360`` over current customers with their purchases."""
     today = D.day(as_of)
-    return with_activity(customer, fact, calendar, by).select(
+    return active.select(
         "customer_key", "customer_id", "full_name", "email", "customer_segment", "loyalty_tier",
         "city", "state", "region", "registration_date",
         "total_orders", "total_items_purchased", "lifetime_value", "avg_order_value",

@@ -29,6 +29,10 @@ RAW_CUSTOMERS = (
     "state string, postal_code string, country string, loyalty_points string, preferred_contact string, "
     "is_active string"
 )
+RAW_INVENTORY = (
+    "inventory_id string, product_id string, store_id string, quantity_on_hand string, quantity_reserved string, "
+    "reorder_point string, reorder_qty string, last_restock_date string, snapshot_timestamp string"
+)
 STORES = (
     "store_id string, store_name string, store_type string, city string, state string, region string, "
     "country string, is_active boolean, open_date string"

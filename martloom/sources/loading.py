@@ -88,6 +88,18 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     return _typed(raw, columns, {}, {n: c(n) for n in soft})
 
 
+def clean_inventory(raw: DataFrame) -> DataFrame:
+    c = F.col
+    counts = ("quantity_on_hand", "quantity_reserved", "reorder_point", "reorder_qty")
+    columns = {
+        "inventory_id": c("inventory_id"), "product_id": c("product_id"), "store_id": c("store_id"),
+        **{n: casts.try_number(c(n), "int") for n in counts},
+        "last_restock_date": casts.try_date(c("last_restock_date")),
+        "snapshot_timestamp": casts.try_timestamp(c("snapshot_timestamp")),
+    }
+    return _typed(raw, columns, {}, {n: c(n) for n in (*counts, "last_restock_date", "snapshot_timestamp")})
+
+
 # Document fields and their staging types.
 PRODUCT_TYPES = {
     "product_id": "string", "product_name": "string", "category": "string", "subcategory": "string",

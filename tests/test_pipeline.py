@@ -7,8 +7,8 @@ import os
 from pyspark.sql import functions as F
 
 from martloom.operators import calendar
-from martloom.plans import pipeline
-from martloom.schemas import RAW_CUSTOMERS, RAW_SALES
+from martloom.plans import marts, pipeline
+from martloom.schemas import RAW_CUSTOMERS, RAW_INVENTORY, RAW_SALES
 from martloom.sources import sinks
 
 DAYS = (dt.date(2024, 1, 1), 60)
@@ -152,3 +152,65 @@ def test_a_line_whose_date_moves_stands_once(spark, folder):
         pipeline.load_facts(spark, layers, 2, days)
     mart = sinks.get_batch(spark, layers.analytics("agg_daily_sales"))
     assert float(mart.agg(F.sum("net_revenue")).first()[0]) == 30.0
+
+
+def _same(left, right):
+    columns = sorted(left.columns)
+    assert columns == sorted(right.columns)
+    text = lambda df: sorted(str([None if v is None else float(v) if hasattr(v, "as_tuple") else v for v in r])
+                             for r in df.select(columns).collect())
+    assert text(left) == text(right)
+
+
+def test_refreshed_marts_equal_marts_computed_anew(spark, folder):
+    """Sales that come, move and change price, customers that change segment; each batch against a full computation."""
+    layers = pipeline.Layers(folder)
+    days = calendar.dim_date(spark, *DAYS, as_of=dt.date(2024, 1, 20))
+    header = ",".join(_names(RAW_SALES))
+    _write(layers.landing("products/a.json"), [json.dumps({"product_id": "P1", "product_name": "Lamp", "category": "Home",
+                                                           "unit_cost": 6, "unit_price": 10, "is_active": True})])
+    people = [[_customer(1, "vip"), _customer(2, "basic"), _customer(3, "basic")], [_customer(1, "premium")], []]
+    sales = [
+        [_sale(f"O{i}", line, f"C{i % 4}", i, 10.0, 0, f"2024-0{1 + i % 2}-{10 + i % 5}") for i in range(1, 9) for line in (1, 2)],
+        [_sale("O1", 1, "C1", 1, 10.0, 0, "2024-01-12"), _sale("O2", 1, "C1", 9, 10.0, 0, "2024-01-28")],
+        [_sale("O2", 1, "C2", 9, 10.0, 0, "2024-02-28"), _sale("O99", 1, "C1", 2, 10.0, 0, "2024-02-13")],
+    ]
+    for n, (customers, lines) in enumerate(zip(people, sales), 1):
+        if customers:
+            _write(layers.landing(f"customers/{n}.csv"), [",".join(_names(RAW_CUSTOMERS)), *customers])
+        _write(layers.landing(f"sales/{n}.csv"), [header, *lines])
+        now = dt.datetime(2024, 1, 20 + n, 6)
+        pipeline.run_batch(spark, layers, n, days, now)
+        fact = sinks.get_batch(spark, layers.curated("fact_sales"))
+        customer, product, store = (sinks.get_batch(spark, layers.curated(f"dim_{d}")) for d in ("customer", "product", "store"))
+        _same(sinks.get_batch(spark, layers.analytics("agg_daily_sales")), marts.daily_sales(fact, days, store, product, customer))
+        _same(sinks.get_batch(spark, layers.analytics("agg_monthly_sales")), marts.monthly_sales(fact, days, store, product))
+        _same(sinks.get_batch(spark, layers.analytics("customer_360")), marts.customer_360(customer, fact, days, now.date()))
+    # The last batch has moved a line from January to February: the days of other lines keep their groups.
+    written = {r["part"]: r["version"] for r in spark.read.json(f"{layers.analytics('daily_groups')}/_commits/batch=*").groupBy(
+        "part").agg(F.max("version").alias("version")).collect()}
+    assert written == {"202401": 3, "202402": 3}
+    totals = spark.read.json(f"{layers.curated('customer_totals')}/_commits/batch=*").groupBy("version").count().collect()
+    assert {r["version"]: r["count"] for r in totals}[3] <= 2
+
+
+def test_stock_counts_and_rejected_events(spark, folder):
+    layers = pipeline.Layers(folder)
+    days = calendar.dim_date(spark, *DAYS, as_of=dt.date(2024, 1, 20))
+    _land_dimensions(layers)
+    header = ",".join(_names(RAW_INVENTORY))
+    _write(layers.landing("inventory/a.csv"), [
+        header, "I1,P1,STORE-001,20,5,10,50,2024-01-02,2024-01-15 10:00:00", "I2,P1,STORE-001,12,5,10,50,2024-01-02,2024-01-16 10:00:00",
+        "I3,P1,STORE-002,x,0,10,50,,2024-01-15 10:00:00", "I4,P9,STORE-002,-1,0,10,50,,2024-01-15 10:00:00",
+        "I5,,STORE-002,1,0,10,50,,2024-01-15 10:00:00"])
+    _write(layers.landing("clickstream/a.json"), [json.dumps({"event_id": "e1", "session_id": "s"})])
+    pipeline.run_batch(spark, layers, 1, days, dt.datetime(2024, 1, 20, 6))
+    position = {r["store_key"]: r for r in sinks.get_batch(spark, layers.analytics("inventory_position")).collect()}
+    assert len(position) == 2 and sorted((r["quantity_on_hand"], r["needs_reorder"]) for r in position.values() if r["quantity_on_hand"]) == [(12, True)]
+    assert spark.read.parquet(f"{layers.staging('inventory_rejected')}/batch=1").count() == 2
+    assert spark.read.parquet(f"{layers.staging('clickstream_rejected_events')}/batch=1").count() == 1
+    # A corrected count, moved to the next month, replaces the first.
+    _write(layers.landing("inventory/b.csv"), [header, "I2,P1,STORE-001,40,5,10,50,2024-01-02,2024-02-16 10:00:00"])
+    pipeline.run_batch(spark, layers, 2, days, dt.datetime(2024, 1, 21, 6))
+    stored = sinks.get_batch(spark, layers.curated("fact_inventory"))
+    assert {(r["inventory_id"], r["month"]) for r in stored.collect()} == {("I1", 202401), ("I2", 202402), ("I3", 202401)}
