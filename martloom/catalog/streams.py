@@ -15,7 +15,7 @@ from martloom.plans.star import customer_hash
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
 from martloom.sources import sinks
-from martloom.streaming import ingest, tables, windows
+from martloom.streaming import clickstream, ingest, tables, windows
 
 EVENTS = TABLES["events"]
 
@@ -231,3 +231,42 @@ def _(s):
     wait = F.make_dt_interval(secs=(F.col("event_id") % 400).cast("decimal(18,6)"))
     loaded = s.events.withColumn("loaded", F.col("ts") + wait)
     return windows.freshness(loaded, "ts", "loaded", dt.datetime(2024, 1, 30, 12))
+
+
+@query("stream_clickstream_job", """
+SELECT 'fact' AS sink, event_id::VARCHAR AS event_id,
+  CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-28' THEN CAST(strftime(ts, '%Y%m%d') AS INTEGER) END AS date_key,
+  c_custkey AS customer_key, NULL AS rejection_reason
+FROM events LEFT JOIN customer ON c_custkey = user_id AND event_id % 10 <> 0 WHERE event_id % 200 <> 3 AND event_id % 50 <> 7
+UNION ALL SELECT 'bad', CASE WHEN event_id % 200 <> 3 THEN event_id::VARCHAR END, NULL, NULL,
+  CASE WHEN event_id % 200 = 3 THEN 'malformed JSON' ELSE 'Failed validation' END
+FROM events WHERE event_id % 200 = 3 OR event_id % 50 = 7""")
+def _(s):
+    """Lines of which some are broken, some lack a session and some come twice; the first run dies before its commit."""
+    path, out, checkpoint = _paths(s, "stream-click-job")
+    e = F.col("event_id")
+    document = F.to_json(F.struct(
+        e.cast("string").alias("event_id"), F.when(e % 50 != 7, F.concat(F.lit("S"), "user_id")).alias("session_id"),
+        F.when(e % 10 != 0, F.concat(F.lit("CUST-"), "user_id")).alias("customer_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_timestamp"), "event_type"))
+    texts = s.events.select(F.when(e % 200 == 3, F.concat(document, F.lit("}"))).otherwise(document).alias("value"), e.alias("id"))
+    texts.select("value").write.mode("append").text(path)
+    texts.filter("id % 9 = 0 AND id % 200 <> 3").select("value").write.mode("append").text(path)
+    lines = lambda: ingest.source(s.spark, path, "value string", "text")
+
+    def broken():
+        raise RuntimeError("the dimension cannot be read")
+
+    first = clickstream.clickstream(lines(), out, lambda: click_calendar(s), broken, checkpoint, "400 days")
+    try:
+        first.awaitTermination()
+    except Exception as error:
+        if "the dimension cannot be read" not in str(error):
+            raise
+    _run_twice(lambda: clickstream.clickstream(lines(), out, lambda: click_calendar(s), lambda: s.dim_customer, checkpoint, "400 days"))
+    good = clickstream.facts_of(s.spark, out).select(
+        F.lit("fact").alias("sink"), "event_id", "date_key", "customer_key", F.lit(None).cast("string").alias("rejection_reason"))
+    bad = clickstream.rows_of(s.spark, out, clickstream.BAD).select(
+        F.lit("bad").alias("sink"), "event_id", F.lit(None).cast("int").alias("date_key"),
+        F.lit(None).cast("bigint").alias("customer_key"), "rejection_reason")
+    return good.unionByName(bad)

@@ -8,7 +8,7 @@ per key before it is joined, so keys are unique on both sides.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,14 +113,15 @@ def enrich_customer(staged: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def scd2_load(dimension: DataFrame, changes: DataFrame, key: str, hash_column: str, as_of: dt.date,
-              surrogate: str, order: Sequence[Column] | None = None, slices: int = 64) -> DataFrame:
+              surrogate: str, order: Sequence[Column] | None = None, slices: int = 64,
+              number: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Next version of a history-keeping dimension.
 
     Only the current rows meet the changes, on the key. A changed current row is
     closed the day before ``as_of`` and a new version opens; a current row that
     opened on ``as_of`` itself is overwritten instead, so no version ends before
     it starts. The same load again changes nothing. Rows of ``changes`` are cut
-    to one per key (by ``order``).
+    to one per key (by ``order``). ``number`` gives new rows their surrogate key, above the present maximum by default.
     """
     today = D.day(as_of)
     columns = dimension.columns
@@ -162,8 +163,12 @@ def scd2_load(dimension: DataFrame, changes: DataFrame, key: str, hash_column: s
         return F.when(~fresh, F.col(c))
 
     result = split.select(*[value(c).cast(dimension.schema[c].dataType).alias(c) for c in columns])
-    start = F.coalesce(dimension.agg(F.max(surrogate)).scalar(), F.lit(0))
-    numbered = add_keys(result.filter(F.col(surrogate).isNull()).drop(surrogate), surrogate, key, start, slices)
+    fresh_rows = result.filter(F.col(surrogate).isNull()).drop(surrogate)
+    if number is None:
+        start = F.coalesce(dimension.agg(F.max(surrogate)).scalar(), F.lit(0))
+        numbered = add_keys(fresh_rows, surrogate, key, start, slices)
+    else:
+        numbered = number(fresh_rows)
     return closed.unionByName(result.filter(F.col(surrogate).isNotNull())).unionByName(numbered.select(*columns))
 
 

@@ -61,6 +61,40 @@ def orphan_count(rows: DataFrame, parent: DataFrame, key: str, nulls_count: bool
     )
 
 
+def key_counts(rows: DataFrame, kinds: dict[str, Sequence[str]], marks: dict[str, Column] | None = None) -> DataFrame:
+    """(kind, k1, k2, n): rows per key of several kinds of keys, of one or two columns each, from one pass.
+
+    ``marks`` are kinds without a key: n counts the rows for which the condition is true. Keys are compared as text.
+    """
+    def one(kind: str, columns: Sequence[str]) -> Column:
+        texts = [F.col(c).cast("string") for c in columns] + [F.lit(None).cast("string")] * (2 - len(columns))
+        return F.struct(F.lit(kind).alias("kind"), texts[0].alias("k1"), texts[1].alias("k2"))
+
+    found = [one(kind, columns) for kind, columns in kinds.items()]
+    found += [F.when(condition, one(kind, ())) for kind, condition in (marks or {}).items()]
+    stacked = rows.select(F.explode(F.array_compact(F.array(*found))).alias("s")).select("s.*")
+    return stacked.groupBy("kind", "k1", "k2").agg(F.count("*").alias("n"))
+
+
+def orphan_counts(counts: DataFrame, parents: dict[str, tuple[DataFrame, str, bool]]) -> DataFrame:
+    """One row with ``checked_<kind>`` and ``orphans_<kind>`` for every kind, from ``key_counts``.
+
+    ``parents`` has for each kind the parent, its key and whether a null key is an orphan. All parents' keys meet the
+    counted keys in one join, in which a hot key is one row.
+    """
+    known, out = None, []
+    for kind, (parent, key, _) in parents.items():
+        part = parent.select(F.lit(kind).alias("_kind"), F.col(key).cast("string").alias("_k")).filter("_k IS NOT NULL")
+        known = part if known is None else known.unionByName(part)
+    met = counts.filter(F.col("kind").isin(list(parents))).join(
+        known.distinct(), (F.col("kind") == F.col("_kind")) & (F.col("k1") == F.col("_k")), "left")
+    for kind, (_, _, nulls_count) in parents.items():
+        own = F.col("kind") == kind if nulls_count else (F.col("kind") == kind) & F.col("k1").isNotNull()
+        out += [F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias(f"checked_{kind}"),
+                F.coalesce(F.sum(F.when(own & F.col("_k").isNull(), F.col("n"))), F.lit(0)).alias(f"orphans_{kind}")]
+    return met.agg(*out)
+
+
 def semi(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(wanted.select(*keys), list(keys), "left_semi")
 

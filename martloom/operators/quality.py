@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import dates as D
 from martloom.functions.measures import count_if, pct
-from martloom.operators.keys import duplicates, orphan_count
+from martloom.operators.keys import duplicates, key_counts, orphan_count, orphan_counts
 from martloom.operators.shapes import by_rank, invalid_email, invalid_email_loose
 
 PASS, WARNING, FAIL, ERROR, SKIP = "PASS", "WARNING", "FAIL", "ERROR", "SKIP"
@@ -193,18 +193,24 @@ def accuracy(customer: DataFrame, fact: DataFrame) -> DataFrame:
     ])
 
 
-def _foreign_key(fact: DataFrame, parent: DataFrame, key: str, name: str, nulls_count: bool = False) -> DataFrame:
-    return check(orphan_count(fact, parent, key, nulls_count), "CURATED", "FACT_SALES", [
-        Rule(name, "CONSISTENCY", F.sum("orphans"), f"orphan {key} references in FACT_SALES",
-             checked=F.sum("checked"))])
+def _fact_parents(customer: DataFrame, product: DataFrame, calendar: DataFrame) -> dict:
+    return {"customer_key": (customer, "customer_key", False), "product_key": (product, "product_key", False),
+            "date_key": (calendar, "date_key", True)}
+
+
+def _fact_orphans(fact: DataFrame, customer: DataFrame, product: DataFrame, calendar: DataFrame) -> DataFrame:
+    parents = _fact_parents(customer, product, calendar)
+    return orphan_counts(key_counts(fact, {k: [k] for k in parents}), parents)
 
 
 def consistency(customer: DataFrame, fact: DataFrame, product: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Foreign keys of the fact, all from one pass over it, and one current version per customer."""
     current = customer.filter("is_current").groupBy("customer_id").agg(F.count("*").alias("cnt"))
+    names = {"customer_key": "FK_CUSTOMER_INTEGRITY", "product_key": "FK_PRODUCT_INTEGRITY", "date_key": "FK_DATE_INTEGRITY"}
     return union([
-        _foreign_key(fact, customer, "customer_key", "FK_CUSTOMER_INTEGRITY"),
-        _foreign_key(fact, product, "product_key", "FK_PRODUCT_INTEGRITY"),
-        _foreign_key(fact, calendar, "date_key", "FK_DATE_INTEGRITY", nulls_count=True),
+        check(_fact_orphans(fact, customer, product, calendar), "CURATED", "FACT_SALES", [
+            Rule(name, "CONSISTENCY", F.sum(f"orphans_{key}"), f"orphan {key} references in FACT_SALES",
+                 checked=F.sum(f"checked_{key}")) for key, name in names.items()]),
         check(current, "CURATED", "DIM_CUSTOMER", [
             Rule("SCD2_ONE_CURRENT_PER_KEY", "CONSISTENCY", count_if(F.col("cnt") > 1),
                  "customers with multiple current records", checked=F.count("customer_id"))]),
@@ -259,41 +265,47 @@ def daily_summary(log: DataFrame) -> DataFrame:
 
 # Short checks: name, status, count, note
 
-def _named(rows: DataFrame, name: str, bad: Column, note: str, columns=("check_name", "status", "error_count",
-                                                                        "details")) -> DataFrame:
-    counted = rows.agg(F.coalesce(bad, F.lit(0)).cast("bigint").alias("_n"))
-    return counted.select(
-        F.lit(name).alias(columns[0]),
-        F.when(F.col("_n") == 0, PASS).otherwise(FAIL).alias(columns[1]),
-        *([F.col("_n").alias(columns[2])] if len(columns) == 4 else []),
-        (F.lit(note) if len(columns) == 4 else F.concat(F.col("_n").cast("string"), F.lit(" " + note))).alias(
-            columns[-1]),
-    )
+_CHECK, _TEST = ("check_name", "status", "error_count", "details"), ("test_name", "status", "details")
 
 
-_TEST = ("test_name", "status", "details")
+def _named(rows: DataFrame, tests: Sequence[tuple[str, Column, str]], columns: Sequence[str] = _CHECK) -> DataFrame:
+    """(name, aggregate that counts what is bad, note) for each test: one pass, one row a test."""
+    counted = rows.agg(*[F.coalesce(bad, F.lit(0)).cast("bigint").alias(f"n{i}") for i, (_, bad, _) in enumerate(tests)])
+    out = []
+    for i, (name, _, note) in enumerate(tests):
+        n = F.col(f"n{i}")
+        fields = [F.lit(name).alias(columns[0]), F.when(n == 0, PASS).otherwise(FAIL).alias(columns[1])]
+        if len(columns) == 4:
+            fields += [n.alias(columns[2]), F.lit(note).alias(columns[3])]
+        else:
+            fields.append(F.concat(n.cast("string"), F.lit(" " + note)).alias(columns[2]))
+        out.append(F.struct(*fields))
+    return counted.select(F.explode(F.array(*out)).alias("r")).select("r.*")
 
 
 def curated_checks(fact: DataFrame, customer: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
-    future = calendar.filter(F.col("full_date") > D.day(as_of)).select("date_key")
-    return union([
-        _named(orphan_count(fact, customer, "customer_key"), "Orphan Customer Keys", F.sum("orphans"),
-               "Fact records without matching customer dimension"),
-        _named(fact, "Negative Net Amounts", count_if(F.col("net_amount") < 0), "Sales with negative net_amount"),
-        _named(fact.join(future, "date_key", "left_semi"), "Future Transaction Dates", F.count("*"),
-               "Transactions dated in the future"),
-        _named(duplicates(fact, ["order_id", "order_line_id"]), "Duplicate Order Lines", F.count("*"),
-               "Duplicate order_id + order_line_id combinations"),
+    """Four checks of the fact from one pass over it: keys are counted, then joined to customers and to days to come."""
+    future = calendar.filter(F.col("full_date") > D.day(as_of)).select(F.col("date_key").cast("string").alias("_day")).distinct()
+    counts = key_counts(fact, {"customer": ["customer_key"], "line": ["order_id", "order_line_id"], "day": ["date_key"]},
+                        {"negative": F.col("net_amount") < 0})
+    known = customer.select(F.col("customer_key").cast("string").alias("_c")).filter("_c IS NOT NULL").distinct()
+    kind, n = F.col("kind"), F.col("n")
+    met = counts.join(known, (kind == "customer") & (F.col("k1") == F.col("_c")), "left").join(
+        F.broadcast(future), (kind == "day") & (F.col("k1") == F.col("_day")), "left")
+    orphan = (kind == "customer") & F.col("k1").isNotNull() & F.col("_c").isNull()
+    return _named(met, [
+        ("Orphan Customer Keys", F.sum(F.when(orphan, n)), "Fact records without matching customer dimension"),
+        ("Negative Net Amounts", F.sum(F.when(kind == "negative", n)), "Sales with negative net_amount"),
+        ("Future Transaction Dates", F.sum(F.when(F.col("_day").isNotNull(), n)), "Transactions dated in the future"),
+        ("Duplicate Order Lines", count_if((kind == "line") & (n > 1)), "Duplicate order_id + order_line_id combinations"),
     ])
 
 
 def foreign_key_tests(fact: DataFrame, customer: DataFrame, product: DataFrame, calendar: DataFrame) -> DataFrame:
-    bad = F.sum("orphans")
-    return union([
-        _named(orphan_count(fact, customer, "customer_key"), "FACT_SALES_CUSTOMER_FK", bad, "orphan records", _TEST),
-        _named(orphan_count(fact, product, "product_key"), "FACT_SALES_PRODUCT_FK", bad, "orphan records", _TEST),
-        _named(orphan_count(fact, calendar, "date_key", True), "FACT_SALES_DATE_FK", bad, "orphan records", _TEST),
-    ])
+    return _named(_fact_orphans(fact, customer, product, calendar), [
+        (name, F.sum(f"orphans_{key}"), "orphan records") for name, key in (
+            ("FACT_SALES_CUSTOMER_FK", "customer_key"), ("FACT_SALES_PRODUCT_FK", "product_key"),
+            ("FACT_SALES_DATE_FK", "date_key"))], _TEST)
 
 
 def reconcile_counts(staged_sales: DataFrame, fact: DataFrame, staged_customers: DataFrame,
@@ -311,10 +323,10 @@ def reconcile_counts(staged_sales: DataFrame, fact: DataFrame, staged_customers:
 def scd2_tests(dimension: DataFrame, key: str = "customer_id") -> DataFrame:
     current = dimension.filter("is_current")
     return union([
-        _named(duplicates(current, [key]), "ONE_CURRENT_PER_CUSTOMER", F.count("*"),
-               "customers with multiple current records", _TEST),
-        _named(current, "CURRENT_END_DATE_NULL", count_if(F.col("end_date").isNotNull()),
-               "current records with non-null end_date", _TEST),
+        _named(duplicates(current, [key]), [("ONE_CURRENT_PER_CUSTOMER", F.count("*"),
+                                             "customers with multiple current records")], _TEST),
+        _named(current, [("CURRENT_END_DATE_NULL", count_if(F.col("end_date").isNotNull()),
+                          "current records with non-null end_date")], _TEST),
     ])
 
 
@@ -346,8 +358,8 @@ def data_flow_tests(staged_sales: DataFrame, fact: DataFrame, calendar: DataFram
 
     return union([
         match,
-        _named(orphan_count(fact, calendar, "date_key", True), "DATE_DIM_COVERAGE", F.sum("orphans"),
-               "fact records with dates not in DIM_DATE", _TEST),
+        _named(orphan_count(fact, calendar, "date_key", True), [
+            ("DATE_DIM_COVERAGE", F.sum("orphans"), "fact records with dates not in DIM_DATE")], _TEST),
         filled(customer.filter("is_current"), "CUSTOMER_DIM_HAS_CURRENT", "current customer records"),
         filled(summary, "MV_DAILY_SALES_POPULATED", "rows in MV_DAILY_SALES_SUMMARY"),
     ])
@@ -358,13 +370,14 @@ def transform_tests(fact: DataFrame, product: DataFrame, customer: DataFrame) ->
     over = F.col("net_amount") > F.col("gross_amount") + F.lit(AMOUNT_TOLERANCE)
     margin = F.col("profit_margin")
     return union([
-        _named(fact, "GROSS_AMOUNT_CALC", count_if(off), "records where gross_amount != unit_price * quantity", _TEST),
-        _named(fact, "NET_LESS_THAN_GROSS", count_if(over), "records where net_amount > gross_amount", _TEST),
-        _named(customer.filter("is_current"), "SCD2_DATE_CONTINUITY", count_if(F.col("end_date").isNotNull()),
-               "customers with date gaps in SCD2 history", _TEST),
-        _named(scd2_gaps(customer), "SCD2_VERSION_GAPS", F.count("*"), "versions not followed by the next day", _TEST),
-        _named(product, "PROFIT_MARGIN_VALID", count_if((margin < 0) | (margin > 100)),
-               "products with profit_margin outside 0-100 range", _TEST),
+        _named(fact, [
+            ("GROSS_AMOUNT_CALC", count_if(off), "records where gross_amount != unit_price * quantity"),
+            ("NET_LESS_THAN_GROSS", count_if(over), "records where net_amount > gross_amount")], _TEST),
+        _named(customer.filter("is_current"), [("SCD2_DATE_CONTINUITY", count_if(F.col("end_date").isNotNull()),
+                                                "customers with date gaps in SCD2 history")], _TEST),
+        _named(scd2_gaps(customer), [("SCD2_VERSION_GAPS", F.count("*"), "versions not followed by the next day")], _TEST),
+        _named(product, [("PROFIT_MARGIN_VALID", count_if((margin < 0) | (margin > 100)),
+                          "products with profit_margin outside 0-100 range")], _TEST),
     ])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators import dimensions, facts
-from martloom.sources import keymap, sinks
+from martloom.sources import buckets, keymap
 from martloom.streaming.ingest import per_batch
 
 
@@ -25,11 +25,10 @@ def clickstream_fact(staged: DataFrame, calendar: Callable[[], DataFrame], custo
 
 def keep_scd1(changes: DataFrame, base: str, initial: DataFrame, keys: Sequence[str], set_columns: Sequence[str],
               order: Sequence[Column], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Overwrite dimension: each batch gives the next version."""
+    """Overwrite dimension in buckets of its keys: each batch rewrites the buckets of the keys it holds."""
     def write(rows: DataFrame, batch_id: int) -> None:
-        target = sinks.get_batch(rows.sparkSession, base, before=batch_id)
-        target = initial if target is None else target
-        sinks.put_batch(dimensions.overwrite_merge(target, rows, keys, set_columns, order=order), base, batch_id)
+        merge = lambda target, rows: dimensions.overwrite_merge(target, rows, keys, set_columns, order=order)
+        buckets.merge_buckets(rows, base, keys, initial, merge, batch_id)
 
     return per_batch(changes, checkpoint, write, trigger)
 
@@ -37,12 +36,18 @@ def keep_scd1(changes: DataFrame, base: str, initial: DataFrame, keys: Sequence[
 def keep_scd2(changes: DataFrame, base: str, initial: DataFrame, key: str, hash_column: str, surrogate: str,
               as_of: Callable[[int], dt.date], order: Sequence[Column], checkpoint: str,
               trigger: dict | None = None) -> StreamingQuery:
-    """History-keeping dimension; ``as_of`` dates a batch by its number, so a replay dates it alike."""
+    """History-keeping dimension in buckets of its key; ``as_of`` dates a batch by its number, so a replay dates it alike.
+
+    New surrogate keys are numbered within each bucket, above the keys the dimension began with.
+    """
     def write(rows: DataFrame, batch_id: int) -> None:
-        target = sinks.get_batch(rows.sparkSession, base, before=batch_id)
-        target = initial if target is None else target
-        loaded = dimensions.scd2_load(target, rows, key, hash_column, as_of(batch_id), surrogate, order)
-        sinks.put_batch(loaded, base, batch_id)
+        first = buckets.first_key(base, initial, surrogate)
+
+        def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
+            return dimensions.scd2_load(target, rows, key, hash_column, as_of(batch_id), surrogate, order,
+                                        number=lambda fresh: buckets.add_keys(fresh, target, surrogate, key, first))
+
+        buckets.merge_buckets(rows.filter(rows[key].isNotNull()), base, [key], initial, merge, batch_id)
 
     return per_batch(changes, checkpoint, write, trigger)
 

@@ -91,3 +91,27 @@ def test_layer_lineage(spark):
         "curated.fact_sales", "curated.dim_customer"}
     assert lineage.impact(edges, "landing.sales").filter("level = 3").count() == 4
     assert lineage.lineage_map(edges).filter("source_layer = 'staging' AND target_layer = 'curated'").count() == 4
+
+
+def test_foreign_keys_take_one_pass_over_the_fact(spark):
+    from martloom.operators import quality
+    from martloom.plans.star import Star
+
+    star = Star(spark, "/root/testdata/sf0.001")
+    for frame in (quality.foreign_key_tests(star.fact_sales, star.dim_customer, star.dim_product, star.dim_date),
+                  quality.consistency(star.dim_customer, star.fact_sales, star.dim_product, star.dim_date),
+                  quality.curated_checks(star.fact_sales, star.dim_customer, star.dim_date, star.as_of),
+                  quality.transform_tests(star.fact_sales, star.dim_product, star.dim_customer.withColumn("k", F.lit(1)))):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_linenumber") and plan.count("lineitem") <= 1 or plan.count("Relation [l_orderkey") == 1
+
+
+def test_orphans_of_several_kinds_with_hot_and_empty_keys(spark):
+    from martloom.operators.keys import key_counts, orphan_counts
+
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS a", "id % 5 AS b")
+    a, b = spark.createDataFrame([(7,), (7,), (None,)], "a long"), spark.createDataFrame([(0,), (1,)], "b long")
+    parents = {"a": (a, "a", False), "b": (b, "b", True)}
+    assert orphan_counts(key_counts(rows, {"a": ["a"], "b": ["b"]}), parents).first().asDict() == {
+        "checked_a": 2000, "orphans_a": 1000, "checked_b": 3000, "orphans_b": 1800}
+    assert set(orphan_counts(key_counts(rows.limit(0), {"a": ["a"], "b": ["b"]}), parents).first()) == {0}
