@@ -66,16 +66,17 @@ def with_row_numbers(df: DataFrame, load_time: dt.datetime | None = None) -> Dat
     )
 
 
+def delimited_options(fmt: Delimited) -> dict[str, str]:
+    """Reader options of a format. Columns are read as text, short and long rows are tolerated."""
+    trim = str(fmt.trim).lower()
+    return {"header": str(fmt.header).lower(), "sep": fmt.separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+            "enforceSchema": "true", "ignoreLeadingWhiteSpace": trim, "ignoreTrailingWhiteSpace": trim}
+
+
 def _scan_delimited(spark: SparkSession, path: str | list[str], schema: str | T.StructType, fmt: Delimited) -> DataFrame:
     names = (schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)).names
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return (
-        spark.read.schema(text)
-        .options(header=str(fmt.header).lower(), sep=fmt.separator, quote='"', escape='"', mode="PERMISSIVE",
-                 enforceSchema="true", ignoreLeadingWhiteSpace=str(fmt.trim).lower(),
-                 ignoreTrailingWhiteSpace=str(fmt.trim).lower())
-        .csv(path)
-    )
+    return spark.read.schema(text).options(**delimited_options(fmt)).csv(path)
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: str | T.StructType,
