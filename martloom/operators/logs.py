@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import dates as D
 from martloom.functions.measures import count_if, pct
-from martloom.operators.percentiles import exact_percentile
+from martloom.operators.percentiles import exact_percentiles
 from martloom.operators.shapes import top
 
 # Money per credit and per TB and month, weeks per month.
@@ -93,16 +93,8 @@ def daily_metrics(log: DataFrame, now: dt.datetime, days: int = 30) -> DataFrame
 
 def percentiles(log: DataFrame, by: str | None = None) -> DataFrame:
     """Exact p50, p95 and p99 of the run time, per value of ``by`` or over all."""
-    keys, out = [by] if by else [], None
-    for name, fraction in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
-        part = exact_percentile(log, keys, "execution_time", fraction, name)
-        if out is None:
-            out = part
-        elif keys:
-            out = out.join(part, keys)
-        else:
-            out = out.withColumn(name, part.scalar())
-    return out
+    wanted = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    return exact_percentiles(log, [by] if by else [], "execution_time", wanted)
 
 
 def exports(log: DataFrame, now: dt.datetime, pattern: str = "%COPY INTO%@%", days: int = 30, n: int = 50) -> DataFrame:

@@ -96,3 +96,24 @@ def test_exact_percentile(spark, monkeypatch, fraction):
     assert all(abs(found[k] - expected[k]) < 1e-6 for k in expected)
     everything = percentiles.exact_percentile(df, [], "v", fraction, "p").first()["p"]
     assert abs(everything - frame["v"].quantile(fraction)) < 1e-6
+
+
+def test_percentiles_at_once_equal_numpy_on_hot_values_and_keys(spark):
+    import numpy as np
+
+    from martloom.operators.percentiles import exact_percentiles
+
+    rng = np.random.default_rng(4)
+    rows = [("hot", 7.0) for _ in range(18000)] + [("hot", float(v)) for v in rng.normal(0, 50, 2000)]
+    rows += [(None, float(v)) for v in rng.integers(0, 5, 900)] + [("one", 3.0), ("none", None), ("two", 1.0), ("two", 2.0)]
+    wanted = {"a": 0.0, "b": 0.5, "c": 0.95, "d": 0.99, "e": 1.0, "f": 0.05}
+    frame = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in exact_percentiles(frame, ["k"], "v", wanted, slices=16).collect()}
+    assert set(got) == {"hot", None, "one", "two"}
+    for key, row in got.items():
+        values = [v for k, v in rows if k == key]
+        for name, fraction in wanted.items():
+            assert abs(row[name] - np.quantile(values, fraction)) < 1e-9, (key, name)
+    assert exact_percentiles(frame.limit(0), ["k"], "v", wanted).count() == 0
+    plan = lambda names: exact_percentiles(frame, ["k"], "v", {n: wanted[n] for n in names})._jdf.queryExecution().executedPlan().toString()
+    assert plan("abcdef").count("Exchange") == plan("b").count("Exchange")
