@@ -127,7 +127,8 @@ def _(s):
     path, out, checkpoint = _paths(s, "stream-sessions")
     for _step in _in_order(s, path):
         found = windows.sessions(_timed(ingest.source(s.spark, path, EVENTS)), "user_id", "ts")
-        ingest.start(found, out, checkpoint).awaitTermination()
+        with windows.merged_in_tasks(s.spark):
+            ingest.start(found, out, checkpoint).awaitTermination()
     done = s.spark.read.parquet(out).filter("user_id >= 0")
     return done.select("user_id", "events", F.col("first_event").cast("timestamp_ntz").alias("first_event"),
                        F.col("last_event").cast("timestamp_ntz").alias("last_event"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,9 +24,8 @@ def minute_counts(events: DataFrame, ts: str, delay: str = "10 minutes", size: s
 def sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
     """Sessions closed by ``gap`` without an event; each comes out once the watermark has passed its end.
 
-    Partial sessions are merged before the shuffle when
-    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is set,
-    which keeps a hot user's rows few.
+    Started within ``merged_in_tasks``, a query merges the sessions of each task before the shuffle, so a hot user sends
+    sessions and not events.
     """
     return (
         events.withWatermark(ts, delay).groupBy(F.col(user), F.session_window(ts, gap))
@@ -33,6 +34,19 @@ def sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", del
     )
 
 
+@contextlib.contextmanager
+def merged_in_tasks(spark: SparkSession) -> Iterator[None]:
+    """Session queries that start in here merge in two levels: intervals within a task, then by user. A query keeps the
+    setting it started with, and so should be started like this on every restart."""
+    name = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def dropped_late(query: StreamingQuery) -> int:
     """Rows the state operators left out because they came after the watermark."""
     return sum(

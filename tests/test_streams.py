@@ -84,3 +84,31 @@ def test_late_facts_touch_only_their_month(spark, folder):
     paths = {r["part"]: r["version"] for r in sinks._batch_commits(spark, base, None).groupBy("part").agg(
         F.max("version").alias("version")).collect()}
     assert paths == {"202401": 1, "202402": 0}
+
+
+def test_sessions_of_a_hot_user_merge_before_the_shuffle(spark, folder):
+    """A third of all events are one user's; the result equals the sessions of the whole table."""
+    from martloom.streaming import windows
+
+    schema = "user string, ts timestamp, n long"
+    rows = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 11 = 0 THEN NULL ELSE concat('u', id % 40) END AS user",
+        "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (id * 7919) % 90000) AS ts", "id AS n")
+    end = spark.createDataFrame([("end", dt.datetime(2030, 1, 1), 0)], schema)
+    rows.repartition(3).write.parquet(f"{folder}/in")
+    plans = []
+    for _ in range(2):
+        found = windows.sessions(ingest.source(spark, f"{folder}/in", schema), "user", "ts", "30 seconds", "2 days")
+        with windows.merged_in_tasks(spark):
+            query = ingest.start(found, f"{folder}/out", f"{folder}/checkpoint")
+        query.awaitTermination()
+        plans.append(query._jsq.explainInternal(False))
+        end.write.mode("append").parquet(f"{folder}/in")
+    name = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    assert spark.conf.get(name) == "false"
+    below_the_shuffle = plans[0].partition("Exchange")[2]
+    assert "MergingSessions" in below_the_shuffle
+    got = sorted(map(str, spark.read.parquet(f"{folder}/out").filter("user IS NULL OR user <> 'end'").collect()))
+    want = rows.groupBy("user", F.session_window("ts", "30 seconds")).agg(
+        F.count("*").alias("events"), F.min("ts").alias("first_event"), F.max("ts").alias("last_event")).drop("session_window")
+    assert got == sorted(map(str, want.collect()))
