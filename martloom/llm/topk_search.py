@@ -67,7 +67,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     (missing components count 0); repeated rows are candidates each, and a repeated query's rows give one list, that of its
     least vector.
 
-    Vectors meet in blocks. 1: each block gathers, list by list, the local best of every query, and passes on the totals
+    Vectors meet in blocks; candidates are dealt to them by row, so rows that share an id are spread. 1: each block gathers, list by list, the local best of every query, and passes on the totals
     of a few. The k-th highest of all these is a safe cutoff. 2: an entry whose scores all lie below cutoff / lists
     cannot reach it; the others of every list are collected. 3: those are resolved exactly, and what reaches the cutoff,
     at most k of a block, is passed on.
@@ -79,11 +79,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     q_blocks, c_blocks = max(1, -(-n_queries // QUERIES)), max(LEAST_BLOCKS, -(-n // CANDIDATES))
     few = min(k, -(-2 * k // c_blocks) + 1)
     kind = vectors.schema[key].dataType.simpleString()
-    block = lambda c, m: F.pmod(F.xxhash64("id", F.lit(c)), F.lit(m)).cast("int")
+    block = lambda m, *of: F.pmod(F.xxhash64(*of), F.lit(m)).cast("int")
     numbers = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     queries = base.filter("q").groupBy("id").agg(F.min("v").alias("v"))
-    queries = materialise(queries.select("id", "v", block("q", q_blocks).alias("qb")), "queries")
-    candidates = base.select(F.col("id").alias("cid"), F.col("v").alias("cv"), block("c", c_blocks).alias("cb"),
+    queries = materialise(queries.select("id", "v", block(q_blocks, "id").alias("qb")), "queries")
+    candidates = base.select(F.col("id").alias("cid"), F.col("v").alias("cv"), block(c_blocks, F.monotonically_increasing_id()).alias("cb"),
                              numbers(q_blocks).alias("qb"))
 
     def gather(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -112,15 +112,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     def resolve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
-            exact = np.array([None if pd.isna(c) else int(c) for c in left["cutoff"]], object)
-            low = np.array([-np.inf if c is None else float(c) for c in exact])[:, None]
+            # Cutoffs come as text: a column of long numbers with nulls would reach pandas as doubles.
+            exact = np.array([-np.inf if c is None else int(c) for c in left["cutoff"]], object)
             for ids, partial, own in _tiles(left, right, scale, lists):
+                # Scores in doubles are below 2**53; a cutoff that a double cannot hold is above them all.
+                low = (exact if partial[0].dtype == object else exact.astype(float))[:, None]
                 some = np.zeros(own.shape, bool)
                 for p in partial:
-                    some |= p.astype(float) * lists >= low
+                    some |= (p * lists >= low).astype(bool)
                 rows, cols = np.nonzero(some & ~own)
                 total = sum(partial)[rows, cols]
-                reach = total >= low[rows, 0]
+                reach = (total >= low[rows, 0]).astype(bool)
                 found.append((rows[reach], ids[cols[reach]], total[reach]))
         return _rows(left, found, k)
 
@@ -129,7 +131,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     first = asked.groupBy("qb", "cb").cogroup(candidates.groupBy("qb", "cb")).applyInPandas(gather, schema)
     by_query = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(key))
     cutoffs = (first.select("query_id", key, "score", F.row_number().over(by_query).alias("rank"))
-               .filter(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff")))
+               .filter(F.col("rank") == k).select("query_id", F.col("score").cast("string").alias("cutoff")))
     cutoffs = materialise(cutoffs, "cutoffs")
     told = queries.join(cutoffs.withColumnRenamed("query_id", "id"), "id", "left").select("id", "v", "cutoff", "qb")
     told = told.select("*", numbers(c_blocks).alias("cb"))

@@ -1,9 +1,11 @@
+import math
 import random
 import re
 
 import numpy as np
 import pytest
 from plain import LOWER, WORD, documents, repeated_words
+from pyspark.sql import functions as F
 
 from martloom.llm import catalog, licenses, mixing, quality_rules, topk_search, toxicity, url_filters
 from martloom.llm.ranks import ranked
@@ -280,3 +282,31 @@ def test_quality_clashing_names_and_nothing(spark):
     docs = documents(spark, [(1, "a b"), (1, "a b"), (None, None)]).withColumnRenamed("lang", "kept").withColumnRenamed("source", "N_Words")
     out = quality_rules.quality_rules(docs)
     assert out.columns.count("kept") == 1 and out.count() == 3 and quality_rules.quality_rules(docs.limit(0)).count() == 0
+
+
+def test_top_k_of_scores_that_no_double_holds(spark):
+    big = float(2 ** 21)
+    rows = [(i, [big, big + x, 1.0]) for i, x in ((0, 0.0), (1, 1 / 64), (2, 2 / 64), (3, 3 / 64))] + [(20, [1.0, 1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    for k in (1, 2, 5):
+        got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in
+               topk_search.top_k(vectors, F.col("vec_id") % 20 == 0, k).collect()]
+        want = []
+        for q in (0, 20):
+            scored = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)[:k]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+        assert sorted(got) == want
+    assert max(-s for s, _ in scored) < 2 ** 63
+
+
+def test_top_k_with_a_third_of_rows_under_one_id(spark):
+    rng = np.random.default_rng(2)
+    rows = [(7 if i % 3 == 0 else i, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(900)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): r["score"] for r in topk_search.top_k(vectors, F.col("vec_id") % 20 == 0, 3).collect()}
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    for q, v in whole:
+        if q % 20 == 0:
+            scores = sorted((sum(a * b for a, b in zip(v, w)) for i, w in whole if i != q), reverse=True)[:3]
+            assert [got[q, n] for n in (1, 2, 3)] == scores
