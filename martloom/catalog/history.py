@@ -41,6 +41,12 @@ def _(s):
     return _changes(s)
 
 
+@query("cdc_diff_by_digest", star(_DIFF + """
+SELECT * REPLACE (CAST(balance AS DOUBLE) AS balance) FROM changes"""))
+def _(s):
+    return C.diff_by_digest(s.customer_old, s.customer_new, _KEY)
+
+
 @query("cdc_apply", star("SELECT * REPLACE (CAST(balance AS DOUBLE) AS balance) FROM customer_new"))
 def _(s):
     return C.apply(s.customer_old, _changes(s), _KEY)

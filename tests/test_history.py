@@ -162,3 +162,21 @@ def test_restore(spark):
     assert [r["id"] for r in versions.deleted(old, new, ["id"]).collect()] == ["b"]
     assert [r["id"] for r in versions.added(old, new, ["id"]).collect()] == ["c"]
     assert sorted(r["id"] for r in versions.restore_deleted(old, new, ["id"]).collect()) == ["a", "b", "c"]
+
+
+def test_digests_find_the_buckets_that_changed(spark):
+    from martloom.operators import changes
+
+    schema = "k string, v double, w string"
+    rows = [(f"k{i}" if i % 3 else None, float(i), None if i % 5 else "w") for i in range(3000)]
+    old = spark.createDataFrame(rows, schema)
+    assert changes.changed_buckets(old, old.repartition(5), ["k"], 64) == []
+    plan = changes.diff_by_digest(old, old, ["k"], 64)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    touched = [("k1", 1.0, "other") if r[0] == "k1" else r for r in rows if r[0] != "k2"] + [("new", None, None)]
+    new = spark.createDataFrame(touched, schema)
+    assert 1 <= len(changes.changed_buckets(old, new, ["k"], 64)) <= 3
+    text = lambda df: sorted(map(str, df.collect()))
+    assert text(changes.diff_by_digest(old, new, ["k"], 64)) == text(changes.diff(old, new, ["k"]))
+    assert text(changes.diff_by_digest(old, new, ["k"], 1)) == text(changes.diff(old, new, ["k"]))
+    assert changes.diff_by_digest(old.limit(0), old.limit(0), ["k"]).count() == 0
