@@ -16,6 +16,8 @@ from martloom.llm.shipping import in_arrow
 #: Characters of a chunk, and characters that are held at once.
 CHUNK, HELD = 512, 400_000
 SPACE = "▁"
+#: Cells of the tables: this vocabulary's states are many and hold no token, so they get more room than the default.
+CELLS = 34_000_000
 
 
 @functools.lru_cache(maxsize=2)
@@ -40,7 +42,7 @@ def compiled(model: str) -> tuple[Transducer, np.ndarray]:
     for c, i in number.items():
         symbols[ord(c)] = i
     symbols[ord(" ")] = number[SPACE]
-    return Transducer(tokens, lambda a, b: order.get(a + b), n, breaks=(1, 2, 3, 4)), symbols
+    return Transducer(tokens, lambda a, b: order.get(a + b), n, breaks=(1, 2, 3, 4), most_cells=CELLS), symbols
 
 
 def count_texts(texts: list[str | None], model: str, chunk: int = CHUNK) -> np.ndarray:
