@@ -4,45 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import mixing, near_duplicates, packing, quality_rules
 from martloom.llm import toxicity as toxic
 from martloom.llm.catalog import table, tokenizer
+from martloom.llm.names import back, marks, number_of, numbered, one_of_alike
 from martloom.session import scratch_path
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """Adds two hashes of the whole row, by which rows are found again, whatever their id."""
-    return docs.select("*", F.xxhash64(*docs.columns).alias("_a"), F.hash(*docs.columns).alias("_b"))
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are scored as toxic. Labels are read from the table beside the documents'."""
-    scored = toxic.toxicity(_marked(docs), table(spark, sf_dir, "labels"), marks=("_a", "_b"))
+    scored = toxic.toxicity(docs.select("doc_id", "text", *marks(docs)), table(spark, sf_dir, "labels"), marks=("_a", "_b"))
     gone = scored.filter(F.col("predicted") == 1).select("_a", "_b").distinct()
-    return _marked(docs).join(gone, ["_a", "_b"], "left_anti").select(*docs.columns)
+    return numbered(docs).join(gone, ["_a", "_b"], "left_anti").select(*back(docs))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes failing lines, and documents that fail a rule or lose too much text with their lines."""
-    judged = quality_rules.quality_rules(docs).filter("kept")
-    text = F.when(F.col("lost") > 0, F.col("clean_text")).otherwise(F.col("text"))
-    fresh = {"text": text, "n_chars": F.when(F.col("lost") > 0, F.length("clean_text")).otherwise(F.col("n_chars"))}
-    return judged.select(*[fresh[c].cast(docs.schema[c].dataType).alias(c) if c in fresh else F.col(c) for c in docs.columns])
+    text, n_chars = number_of(docs, "text"), number_of(docs, "n_chars")
+    judged = quality_rules.quality_rules(numbered(docs).drop("_a", "_b"), text).filter("kept")
+    cut = F.col("lost") > 0
+    chars = F.when(cut, F.length("clean_text")).otherwise(F.col(n_chars)).cast(docs.schema[int(n_chars[2:])].dataType)
+    fresh = judged.withColumns({text: F.when(cut, F.col("clean_text")).otherwise(F.col(text)), n_chars: chars})
+    return fresh.select(*back(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies, and all that are in no group."""
-    grouped = near_duplicates.near_duplicates(_marked(docs), marks=("_a", "_b"))
+    """Keeps the document with the smallest id of each group of near copies, and all that are in no group (texts without words)."""
+    grouped = near_duplicates.near_duplicates(docs.select("doc_id", "text", *marks(docs)), marks=("_a", "_b"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_a", "_b"))
     kept = grouped.filter(F.col("group").isNotNull()).groupBy("group").agg(first.alias("f")).select("f._a", "f._b")
-    kept = kept.withColumn("_one", F.lit(True)).union(
-        grouped.filter(F.col("group").isNull()).select("_a", "_b").distinct().withColumn("_one", F.lit(False)))
-    found = _marked(docs).join(kept, ["_a", "_b"])
-    turn = F.row_number().over(Window.partitionBy("_a", "_b").orderBy("_b"))
-    return found.withColumn("_turn", turn).filter(~F.col("_one") | (F.col("_turn") == 1)).select(*docs.columns)
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(f"[^{mixing.BLANKS}]")
+    found = one_of_alike(docs.filter(worded)).join(kept, ["_a", "_b"]).select(*back(docs))
+    return found.union(docs.filter(~worded))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.llm.names import back, marks, one_of_alike
 from martloom.llm.ranks import ranked
 from martloom.session import materialise
 
@@ -13,6 +14,8 @@ WEIGHTS, MOST_COPIES = (5, 2, 1), 3
 BLANKS = "\\x20\\x09-\\x0D"
 #: Parts of the unit that a random offset is taken from.
 OFFSETS = 1 << 20
+#: Copies of rows alike that are written side by side.
+TOGETHER = 1024
 
 
 def word_count(text: Column) -> Column:
@@ -44,11 +47,6 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return per.select("source", "source_size", target.alias("target"))
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """Adds two hashes of the whole row, which tell rows apart that share an id."""
-    return docs.select("*", F.xxhash64(*docs.columns).alias("_a"), F.hash(*docs.columns).alias("_b"))
-
-
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = "mix",
         key: str = "doc_id") -> DataFrame:
     """For every document the key, source, size, source_size, target (its source's) and copies (0 to ``most``).
@@ -58,8 +56,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     from the seed and the source is added, and each integer passed is one copy. Null sources are one source; null and
     empty texts have size 0; repeated rows are documents of their own; reruns agree. Other columns are ignored here.
     """
-    marked = _marked(docs)
-    sized = materialise(marked.select(key, "source", word_count(F.col("text")).alias("size"), "_a", "_b"), "sized")
+    sized = materialise(docs.select(key, "source", word_count(F.col("text")).alias("size"), *marks(docs)), "sized")
     targets = source_targets(sized, weights, most)
     cells = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     cells = cells.withColumn("band", F.shiftright("size", 8))
@@ -70,9 +67,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     cells = cells.select("source", "band", "size", F.coalesce(F.sum("n").over(in_band), F.lit(0)).alias("c"))
     cells = _joined(cells, bands, ["source", "band"], ["source", "size", (F.col("b") + F.col("c")).alias("before")])
     cells = _joined(cells, targets, ["source"], ["source", "size", "before", "source_size", "target"])
-    numbered = ranked(sized, ["source", "size"], [key, "_a", "_b"], sized.count())
+    placed = ranked(sized, ["source", "size"], [key, "_a", "_b"], sized.count())
     keep = [key, "source", "size", "source_size", "target", "_a", "_b"]
-    placed = _joined(numbered, cells, ["source", "size"], [*keep, (F.col("before") + F.col("rank")).alias("_i")])
+    placed = _joined(placed, cells, ["source", "size"], [*keep, (F.col("before") + F.col("rank")).alias("_i")])
     name = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), name)), 1, 5), 16, 10).cast("double") / OFFSETS
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -90,12 +87,15 @@ def _joined(left: DataFrame, right: DataFrame, keys: list[str], columns: list) -
 
 
 def mixed(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The documents of the mix, each as often as its copies, with the columns of ``docs``.
+    """The documents of the mix, each as often as its copies, with the columns of ``docs``, whatever their names.
 
-    Rows alike in every column take the copies of the plan's rows like them one by one.
+    Rows alike in every column stand for each other: one of them is kept by each task, and takes the copies of all, in
+    blocks of ``TOGETHER``, so that neither the rows nor the copies of a large group meet in one cell.
     """
-    wanted = plan.groupBy("_a", "_b").agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
-    found = _marked(docs).join(wanted.filter(F.element_at("_copies", -1) > 0), ["_a", "_b"])
-    turn = F.row_number().over(Window.partitionBy("_a", "_b").orderBy("_b"))
-    found = found.withColumn("_times", F.element_at("_copies", turn)).filter(F.col("_times") > 0)
-    return found.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_time")).drop("_time")
+    wanted = plan.groupBy("_a", "_b").agg(F.sum("copies").alias("_n")).filter(F.col("_n") > 0)
+    steps = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / TOGETHER))
+    blocks = wanted.select("_a", "_b", "_n", F.explode(steps).alias("_block"))
+    times = F.least(F.lit(TOGETHER).cast("long"), F.col("_n") - F.col("_block") * TOGETHER)
+    found = one_of_alike(docs).join(blocks, ["_a", "_b"])
+    found = found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("_time"))
+    return found.select(*back(docs))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.names import back, number_of, numbered
+
 # The characters that part words, the characters that count as symbols.
 BLANKS, BLANK_CLASS = " \t\n\x0b\x0c\r", "[\\x20\\x09-\\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -96,12 +98,11 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     of word characters in failing lines), kept, and clean_text (the lines that stay).
 
     Null texts are empty; empty texts have too few words and are not kept; repeated rows are judged each. Columns of
-    these names are replaced. All work is within a row, so no shuffle and no key is involved.
+    these names are replaced; no other name clashes. All work is within a row, so no shuffle and no key is involved.
     """
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost", "kept", "clean_text"]
-    given = [c for c in docs.columns if c.lower() not in new]
-    whole = F.coalesce(F.col(text), F.lit(""))
-    df = held(docs.select(*given), _words=words_of(whole), _lines=F.split(whole, "\n"))
+    whole = F.coalesce(F.col(number_of(docs, text)), F.lit(""))
+    df = held(numbered(docs), _words=words_of(whole), _lines=F.split(whole, "\n"))
     df = held(df, _windows=window_hashes(F.col("_words")), _facts=F.transform("_lines", line_facts))
     full = F.filter("_facts", lambda f: f["words"] > 0)
     repeat = F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), covered(F.col("_words"))).otherwise(F.lit(0))
@@ -116,6 +117,6 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     lost = F.when(F.col("word_chars") > 0, F.col("_lost") / F.col("word_chars")).otherwise(F.lit(0.0))
     clean = F.array_join(F.transform(F.filter("_facts", lambda f: ~fails(f)), lambda f: f["line"]), "\n")
-    return df.select(*given, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return df.select(*back(docs, *new), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                      failed.alias("base_failed"), lost.alias("lost"),
                      (~failed & (lost <= MOST_LOST)).alias("kept"), clean.alias("clean_text"))

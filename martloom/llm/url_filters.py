@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.names import back, number_of, numbered
 from martloom.llm.quality_rules import held, let
 
 # Fixed values: (verdict, host, path) of the rules.
@@ -90,18 +91,17 @@ def url_verdicts(pages: DataFrame, url: str = "url", rules=RULES, model: Model |
     """Adds host, path, rule, score and verdict to every row.
 
     Urls that are null or without ``://`` have an empty host and path, no rule, and the verdict of the model's bias.
-    Repeated rows are judged each; columns of these names are replaced.
+    Repeated rows are judged each; columns of these names are replaced, no other name clashes.
     """
     model = model or default_model()
     new = ("host", "path", "rule", "score", "verdict")
-    given = [c for c in pages.columns if c.lower() not in new]
-    whole = F.coalesce(F.col(url), F.lit(""))
+    whole = F.coalesce(F.col(number_of(pages, url)), F.lit(""))
     at = F.locate("://", whole)
     rest = F.when(at > 0, F.substr(whole, at + 3)).otherwise(F.lit(""))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    df = held(pages.select(*given), host=F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), upper, lower),
+    df = held(numbered(pages), host=F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), upper, lower),
               path=F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     df = held(df, rule=name, _said=verdict, score=let(F.concat("host", "path"), lambda t: score(t, model)))
     learned = F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))
-    return df.select(*given, "host", "path", "rule", "score", F.coalesce("_said", learned).alias("verdict"))
+    return df.select(*back(pages, *new), "host", "path", "rule", "score", F.coalesce("_said", learned).alias("verdict"))

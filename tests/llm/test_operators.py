@@ -8,7 +8,7 @@ from plain import LOWER, WORD, documents, repeated_words
 from pyspark.sql import functions as F
 
 from martloom.llm import catalog, licenses, mixing, quality_rules, topk_search, toxicity, url_filters
-from martloom.llm.ranks import ranked
+from martloom.llm.ranks import digest, ranked
 
 LICENSE_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -58,6 +58,29 @@ def test_mixed_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0), mixing.mix(docs.limit(0))).count() == 0
 
 
+CLASH = ("_a", "_b", "_c0", "_words", "_lines", "_facts", "_said", "_copies", "_time", "_n", "copies", "rank", "a.b", "lost", "Turn")
+
+
+def clashing(docs):
+    return docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASH)])
+
+
+def test_mix_with_clashing_names(spark):
+    docs = documents(spark, [(i % 7, f"w{i % 3} " * (i % 11), "x" if i % 3 else None) for i in range(90)])
+    wide = clashing(docs)
+    plan, out = mixing.mix(wide), mixing.mixed(wide, mixing.mix(wide))
+    assert sum(r["copies"] for r in plan.collect()) == out.count() and out.columns == wide.columns
+    assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in wide.collect()}
+
+
+def test_many_copies_of_one_row_come_from_one_row(spark):
+    docs = documents(spark, [(None, "a b", "x")] * 3000 + [(1, "c", "y")] * 4)
+    plan = mixing.mix(docs)
+    want = {r["source"]: r["n"] for r in plan.groupBy("source").agg(F.sum("copies").alias("n")).collect()}
+    got = {r["source"]: r["count"] for r in mixing.mixed(docs, plan).groupBy("source").count().collect()}
+    assert got == {k: n for k, n in want.items() if n} and want["x"] > mixing.TOGETHER
+
+
 def test_ranked_numbers_each_key(spark):
     frame = spark.range(2000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 2 = 0 THEN NULL ELSE string(id % 5) END AS k")
     seen = {}
@@ -66,6 +89,13 @@ def test_ranked_numbers_each_key(spark):
     assert all(sorted(v) == list(range(len(v))) for v in seen.values()) and sum(map(len, seen.values())) == 2000
 
 
+def test_null_first_ties_are_dealt_over_slices(spark):
+    frame = spark.range(2000).selectExpr("'k' AS k", "CAST(NULL AS long) AS id", "id AS other")
+    assert sorted(r["rank"] for r in ranked(frame, ["k"], ["id", "other"], 2000).collect()) == list(range(2000))
+    largest = frame.groupBy(F.pmod(digest("id", "other"), F.lit(64))).count().agg(F.max("count")).first()[0]
+    assert largest < 100
+
+
 # Licenses
 
 
@@ -241,6 +271,12 @@ def test_url_parts_and_rules(spark):
         assert r["verdict"] == said.get(r["rule"], "block")
 
 
+def test_url_clashing_names(spark):
+    pages = clashing(spark.createDataFrame([(1, "http://example.com/en/"), (2, None)], "page_id long, url string"))
+    out = url_filters.url_verdicts(pages).filter("page_id = 1").first()
+    assert (out["rule"], out["verdict"], out["_said"], out["a.b"]) == ("example.com/en/", "block", 6, 12)
+
+
 def test_url_model_separates_kinds():
     model = url_filters.default_model()
     score = lambda u: model.bias + sum(model.weights[url_filters.bucket(g)] for g in url_filters.grams_of(u))
@@ -282,6 +318,8 @@ def test_quality_clashing_names_and_nothing(spark):
     docs = documents(spark, [(1, "a b"), (1, "a b"), (None, None)]).withColumnRenamed("lang", "kept").withColumnRenamed("source", "N_Words")
     out = quality_rules.quality_rules(docs)
     assert out.columns.count("kept") == 1 and out.count() == 3 and quality_rules.quality_rules(docs.limit(0)).count() == 0
+    wide = rows_of(quality_rules.quality_rules(clashing(documents(spark, [(1, "a b c d e f g h i j k l")]))))
+    assert len(wide) == 1 and wide[0]["kept"] and wide[0]["_lines"] == 4 and wide[0]["lost"] == 0.0 and wide[0]["Turn"] == 14
 
 
 def test_top_k_of_scores_that_no_double_holds(spark):

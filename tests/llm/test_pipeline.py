@@ -1,6 +1,7 @@
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
 from plain import documents, near_duplicates, repeated_words, WORD
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -68,3 +69,19 @@ def test_toxic_rows_go_and_others_stay(spark, folder):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     out = corpus_pipeline.toxicity(spark, docs, folder)
     assert sorted(str(r["text"]) for r in out.collect()) == ["None", "a quiet day", "a quiet day"]
+
+
+def test_stages_keep_columns_with_clashing_names(spark, folder):
+    names = ("_a", "_b", "_c1", "_turn", "_one", "kept", "clean_text", "n_words", "group", "predicted", "a.b")
+    docs = documents(spark, [(1, "you pathetic idiot " + "and some other words that stand here " * 2), (2, None), (None, ""), (2, None),
+                             (4, "The river runs past the old mill and on to the quiet town below it.\nWe use cookies.")])
+    wide = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    ids = lambda out: sorted(map(str, [r["doc_id"] for r in out.collect()]))
+    out = {name: stage(spark, wide, folder) for name, stage in corpus_pipeline.STAGES[:4]}
+    assert all(o.columns == wide.columns for o in out.values())
+    assert all(tuple(r)[5:] == tuple(range(len(names))) for o in out.values() for r in o.collect())
+    assert ids(out["toxicity"]) == ["2", "2", "4", "None"] and ids(out["quality_rules"]) == ["4"]
+    assert out["quality_rules"].first()["text"] == "The river runs past the old mill and on to the quiet town below it."
+    assert ids(out["ngram_jaccard_join"]) == ["1", "2", "2", "4", "None"]
+    assert corpus_pipeline.STAGES[4][1](spark, wide, folder).count() == 5
