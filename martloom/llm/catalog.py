@@ -96,11 +96,14 @@ base AS (
   SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
   FROM places GROUP BY doc_id),
 templates(label, ws) AS (VALUES TEMPLATES),
-blocks AS (
-  SELECT doc_id, list_distinct(w[i + 1:i + 64]) AS b
-  FROM (SELECT *, unnest(range(0, greatest(len(w) - 33, 0) + 1, 32)) AS i FROM w WHERE len(w) > 0)),
+parts AS (SELECT ws, label, len(list_distinct(ws)) AS size, unnest(list_distinct(ws)) AS word FROM templates),
+hits AS (
+  SELECT doc_id, i, label, ws, size, word FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w)
+  JOIN parts USING (word)),
 met AS (
-  SELECT doc_id, label, len(list_intersect(b, list_distinct(ws))) / len(list_distinct(ws)) AS c FROM blocks, templates),
+  SELECT doc_id, label, count(DISTINCT word) OVER (
+           PARTITION BY doc_id, ws ORDER BY i RANGE BETWEEN CURRENT ROW AND 63 FOLLOWING) / size AS c
+  FROM hits),
 more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(c) AS c FROM met WHERE c >= 0.85 GROUP BY doc_id)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

@@ -29,7 +29,7 @@ TEMPLATES = (
             "the following conditions are met"),
 )
 CONTAINMENT = Fraction(17, 20)
-#: Words of a block; the next begins half a block later, so every run of half a block lies in one.
+#: Words of a block. Blocks begin at every word of a template, so no match depends on its place in a text.
 BLOCK = 64
 
 
@@ -87,10 +87,13 @@ def matches(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=
             containment: Fraction = CONTAINMENT, block: int = BLOCK) -> DataFrame:
     """(key, _h, label, template, start, words, containment): every block of words that holds enough of a template.
 
-    Blocks and templates are sets of the templates' words, in order of how rare these are in the whole corpus. A block
-    that holds a share c of a template of t words holds one of its first t - ct + 1; so blocks meet templates at these,
-    in the block's own prefix, if the block has words enough (length) and enough words are left on both sides of the
-    meeting (position). What meets is then compared exactly. ``_h`` is a hash of the text.
+    A block is ``block`` words (or what is left of the text) from a word of the template on; a block that begins with
+    another word holds no more of it than the one that begins at the next. Blocks and templates are sets of the
+    templates' words, in order of how rare these are in the whole corpus. A block that holds a share c of a template of
+    t words holds one of its first t - ct + 1, so blocks are sought before and at the places of such words alone: each
+    place covers the starts since the place before it. Blocks meet templates at these words, in the block's own
+    prefix, if the block has words enough (length) and enough words are left on both sides of the meeting (position).
+    What meets is then compared exactly. ``_h`` is a hash of the text.
     """
     sets = [(label, sorted(set(t.split()))) for label, t in templates]
     order = token_order(docs, text, sorted({w for _, s in sets for w in s}))
@@ -109,16 +112,25 @@ def matches(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=
     near = docs.filter(holds_any(whole, sorted(rarest)))
     known = F.array(*[F.lit(w) for w in order])
     near = held(near.select(key, F.xxhash64(text).alias("_h"), whole.alias("_text")), _words=words_of(F.col("_text")))
-    half = block // 2
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_words") - half - 1, F.lit(0)), F.lit(half))
-    blocks = near.select(key, "_h", "_words", F.explode(starts).alias("start"))
-    own = F.array_sort(F.transform(F.array_intersect(F.slice("_words", F.col("start") + 1, block), known),
-                                   lambda w: F.array_position(known, w).cast("int") - 1))
+    first = F.array(*[F.lit(w) for w in sorted(rarest)])
+    places = F.filter(F.transform("_words", lambda w, i: F.when(F.array_contains(first, w), i)), lambda i: i.isNotNull())
+    near = held(near.select(key, "_h", "_words"), _places=places)
+    spans = F.transform("_places", lambda p, k: F.struct(
+        F.greatest(p - block + 1, F.coalesce(F.get("_places", k - 1) + 1, F.lit(0))).alias("low"), p.alias("high")))
+    spans = near.select(key, "_h", F.size("_words").alias("_all"), "_words", F.inline(spans))
+    number_at = F.transform(F.slice("_words", F.col("low") + 1, F.col("high") - F.col("low") + block), lambda w, i: F.struct(
+        (F.col("low") + i).alias("i"), (F.array_position(known, w).cast("int") - 1).alias("t")))
+    spans = held(spans, _at=F.filter(number_at, lambda x: x["t"] >= 0)).filter(F.size("_at") >= least)
+    begun = F.filter("_at", lambda x: x["i"] <= F.col("high"))
+    blocks = spans.select(key, "_h", "_all", "_at", F.inline(begun).alias("start", "_begin"))
+    inside = F.filter("_at", lambda x: (x["i"] >= F.col("start")) & (x["i"] < F.col("start") + block))
+    own = F.array_sort(F.array_distinct(F.transform(inside, lambda x: x["t"])))
     blocks = held(blocks, _own=own).filter(F.size("_own") >= least)
-    blocks = blocks.select(key, "_h", "start", F.size(F.slice("_words", F.col("start") + 1, block)).alias("words"), "_own",
+    blocks = blocks.select(key, "_h", "start", F.least(F.lit(block), F.col("_all") - F.col("start")).alias("words"), "_own", "_begin",
                            F.posexplode(F.slice("_own", 1, F.size("_own") - least + 1)).alias("at", "token"))
     left = 1 + F.least(F.col("size") - F.col("place"), F.size("_own") - F.col("at")) - 1
-    met = blocks.join(F.broadcast(table), "token").filter((F.size("_own") >= F.col("need")) & (left >= F.col("need")))
+    met = blocks.join(F.broadcast(table), "token").filter(
+        (F.size("_own") >= F.col("need")) & (left >= F.col("need")) & F.array_contains("tokens", F.col("_begin")))
     common = F.size(F.array_intersect("_own", "tokens"))
     met = met.filter(common >= F.col("need")).select(
         key, "_h", "label", "template", "start", "words", (common / F.col("size")).alias("containment"))
