@@ -234,16 +234,28 @@ def _(s):
     return M.customer_history(dimension.withColumn("loyalty_tier", F.lit("BRONZE")), s.as_of)
 
 
-@query("scd2_point_in_time", star(_SCD2 + """
+_POINT_IN_TIME = star(_SCD2 + """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day, c.customer_key, c.segment
 FROM orders LEFT JOIN scd2 c ON c.customer_id = 'CUST-' || o_custkey
-  AND CAST(o_orderdate AS DATE) BETWEEN effective_date AND COALESCE(end_date, DATE '9999-12-31')"""))
-def _(s):
-    orders = s.table("orders").select(
+  AND CAST(o_orderdate AS DATE) BETWEEN effective_date AND COALESCE(end_date, DATE '9999-12-31')""")
+
+
+def _dated_orders(s):
+    return s.table("orders").select(
         "o_orderkey", F.to_date("o_orderdate").alias("order_day"),
         F.concat(F.lit("CUST-"), F.col("o_custkey")).alias("customer_id"))
-    return M.point_in_time(orders, _scd2(s), "customer_id", "order_day", ["customer_key", "segment"]).drop(
-        "customer_id")
+
+
+@query("scd2_point_in_time", _POINT_IN_TIME)
+def _(s):
+    found = M.point_in_time(_dated_orders(s), _scd2(s), "customer_id", "order_day", ["customer_key", "segment"])
+    return found.drop("customer_id")
+
+
+@query("scd2_point_in_time_merged", _POINT_IN_TIME)
+def _(s):
+    found = M.point_in_time_merged(_dated_orders(s), _scd2(s), "customer_id", "order_day", ["customer_key", "segment"])
+    return found.drop("customer_id")
 
 
 @query("surrogate_keys", f"""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from martloom.functions import bands
 from martloom.functions import dates as D
 from martloom.operators.keys import add_keys, latest_per_key
+from martloom.operators.slices import HOT_ROWS, last_version
 
 UNKNOWN_KEY = -1
 
@@ -189,3 +190,27 @@ def point_in_time(rows: DataFrame, dimension: DataFrame, key: str, date_column:
     valid = (F.col(key) == F.col("_k")) & F.col(date_column).between(F.col("_from"), F.col("_to"))
     return rows.join(versions, valid, "left").drop("_k", "_from", "_to").withColumnsRenamed(
         {f"_d_{c}": c for c in columns})
+
+
+def point_in_time_merged(rows: DataFrame, dimension: DataFrame, key: str, date_column: str, columns: Sequence[str],
+                         limit: int = HOT_ROWS, parts: int | None = None) -> DataFrame:
+    """``point_in_time`` by a merge, for dimensions with many versions of a key.
+
+    Rows and versions are stacked, dealt by key and read once in order of the day, so no row meets more than the version
+    before it; a hot key is cut by day. Versions of a key must not overlap: of two that do, the later one counts.
+    Versions that end before they begin hold on no day. Rows without key or day keep NULLs and are not shuffled.
+    """
+    known = F.col(key).isNotNull() & F.col(date_column).isNotNull()
+    until = F.coalesce("end_date", F.lit("9999-12-31").cast("date"))
+    version = F.struct(until.alias("_to"), *[F.col(c) for c in columns])
+    versions = dimension.filter(F.col(key).isNotNull() & (F.col("effective_date") <= until)).select(
+        F.col(key).alias("_k"), F.col("effective_date").alias("_day"), version.alias("_version"))
+    given = rows.filter(known).withColumns({"_k": F.col(key), "_day": F.to_date(date_column)}).drop(key)
+    both = given.unionByName(versions, allowMissingColumns=True)
+    seen = last_version(both, ["_k"], "_day", "_version", "_to", "_last", limit, parts).filter(F.col("_version").isNull())
+    valid = F.col("_last._to") >= F.col("_day")
+    found = seen.select(
+        *[F.col("_k").alias(c) if c == key else F.col(c) for c in rows.columns],
+        *[F.when(valid, F.col(f"_last.{c}")).alias(c) for c in columns])
+    nothing = [F.lit(None).cast(dimension.schema[c].dataType).alias(c) for c in columns]
+    return found.union(rows.filter(~known).select("*", *nothing))

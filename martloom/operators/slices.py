@@ -122,6 +122,35 @@ def _with_previous(cut: DataFrame, keys: Sequence[str], order: Sequence[str], va
     )
 
 
+def last_version(rows: DataFrame, keys: Sequence[str], day: str, version: str, until: str, out: str,
+                 limit: int = HOT_ROWS, parts: int | None = None) -> DataFrame:
+    """Adds ``out``: the last non-null ``version`` per key up to each row's ``day``, in one ordered pass.
+
+    ``version`` is a struct with a field ``until``; versions stand before the other rows of their day, the one that
+    lasts longest last. Rows of a day among themselves need no order, so a day that fills slices is cut by row hash.
+    The last version of a slice is carried into the slices after it.
+    """
+    parts = _parts(rows, keys, limit) if parts is None else parts
+    new = F.col(version).isNotNull()
+    rest = [c for c in rows.columns if c != version]
+    tie = F.when(new, F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(*rest), F.lit(1 << 30)))
+    cut = slice_hot_with_ties(rows, keys, -F.unix_date(day), tie, limit, parts)
+    order = [F.col(day), F.col(version).isNull(), F.col(f"{version}.{until}")]
+    local = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    seen = cut.withColumn(out, F.last(version, ignorenulls=True).over(local))
+    if not parts:
+        return seen.drop("_slice")
+    place = F.when(new, F.struct(F.col(day), F.col(f"{version}.{until}")))
+    last = cut.filter("_slice > 0").groupBy(*keys, "_slice").agg(F.max_by(version, place).alias("_v"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    edges = last.select(*keys, "_slice", F.last("_v", ignorenulls=True).over(before).alias("_edge"))
+    return (
+        _joined(seen, edges, [*keys, "_slice"])
+        .withColumn(out, F.coalesce(out, "_edge"))
+        .drop("_edge", "_slice")
+    )
+
+
 def _running_count(cut: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, out: str) -> DataFrame:
     local = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = carry(cut, keys, F.sum(flag), "_before")

@@ -77,6 +77,50 @@ def test_scd2_same_day_change_overwrites(spark):
     assert [(r["name"], r["effective_date"], r["is_current"]) for r in dimension.collect()] == [("b", day, True)]
 
 
+VERSION = "id string, name string, effective_date date, end_date date"
+
+
+def _versions(rng, key, n):
+    """Versions one after the other, some with a gap before, some that end before they begin, the last one open."""
+    day, out = dt.date(2024, 1, 1), []
+    for i in range(n):
+        day += dt.timedelta(days=rng.choice([0, 0, 3]))
+        end = day + dt.timedelta(days=rng.choice([-1, 0, 2, 5]))
+        out.append((key, f"{key}{i}", day, end))
+        day = max(day, end + dt.timedelta(days=1))
+    return [*out, (key, f"{key}-", day, None)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("limit", [25, 10_000])
+def test_point_in_time_merged_equals_the_join(spark, seed, limit):
+    rng = random.Random(seed)
+    dimension = spark.createDataFrame([v for k in "abcd" for v in _versions(rng, k, rng.randrange(12))], VERSION)
+    days = [None, dt.date(2024, 1, 9), *[dt.date(2023, 12, 28) + dt.timedelta(days=i) for i in range(40)]]
+    rows = [(i, rng.choice(["a", "a", "a", "b", "c", "e", None]), days[1] if rng.random() < 0.4 else rng.choice(days))
+            for i in range(500)]
+    given = spark.createDataFrame(rows, "n int, id string, d date")
+    plain = dimensions.point_in_time(given, dimension, "id", "d", ["name"])
+    merged = dimensions.point_in_time_merged(given, dimension, "id", "d", ["name"], limit=limit)
+    assert merged.columns == plain.columns
+    assert sorted(map(str, merged.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_point_in_time_merged_with_many_versions_of_a_key(spark):
+    first = F.lit("2000-01-01").cast("date")
+    dimension = spark.range(10_000).select(
+        F.lit("a").alias("id"), F.col("id").alias("version"), F.date_add(first, F.col("id").cast("int")).alias("effective_date"),
+        F.date_add(first, F.col("id").cast("int")).alias("end_date"))
+    rows = spark.range(5_000).select(F.col("id").alias("n"), F.lit("a").alias("id"), F.date_add(first, (2 * F.col("id")).cast("int")).alias("d"))
+    found = dimensions.point_in_time_merged(rows, dimension, "id", "d", ["version"], limit=1_000)
+    assert found.count() == 5_000 and found.filter(F.col("version") != 2 * F.col("n")).count() == 0
+    whole = dimensions.point_in_time_merged(rows, dimension, "id", "d", ["version"])
+    assert "Join" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    for a, b in ((rows.limit(0), dimension), (rows, dimension.limit(0)), (rows.limit(0), dimension.limit(0))):
+        out = dimensions.point_in_time_merged(a, b, "id", "d", ["version"])
+        assert out.count() == a.count() and out.filter("version IS NOT NULL").count() == 0
+
+
 def test_point_in_time_and_totals_by_all_versions(spark):
     day = dt.date(2024, 1, 1)
     dimension = _load(spark, spark.createDataFrame([], DIMENSION), [("k", "a", 1)], day)
