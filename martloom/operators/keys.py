@@ -8,21 +8,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Memory that a table may take for each byte of its compressed files.
+UNPACKED = 3
+
+
 def source_bytes(df: DataFrame) -> int | None:
     """Size of the tables a DataFrame reads, or None if Spark does not say.
 
     Spark's own estimate of a joined dimension multiplies its inputs; for a
-    dimension looked up row by row the sum of the inputs is the fair bound.
+    dimension looked up row by row the sum of the inputs is the fair bound. A
+    remote session does not say; an error of a local one is shown.
     """
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    leaves = plan.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a dimension whose source tables are under the session's broadcast threshold.
+    """Broadcast hint for a dimension whose source tables, unpacked, are under the session's broadcast threshold.
 
     Above it there is no hint: Spark joins by shuffle and AQE splits skewed partitions.
     """
@@ -30,7 +35,7 @@ def small_side(df: DataFrame) -> DataFrame:
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     limit = int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
     size = source_bytes(df)
-    return F.broadcast(df) if size is not None and 0 <= size <= limit else df
+    return F.broadcast(df) if size is not None and size * UNPACKED <= limit else df
 
 
 def lookup(fact: DataFrame, dimension: DataFrame, on: Column | str | list[str], columns: Sequence[str],

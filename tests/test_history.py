@@ -77,6 +77,20 @@ def test_scd2_same_day_change_overwrites(spark):
     assert [(r["name"], r["effective_date"], r["is_current"]) for r in dimension.collect()] == [("b", day, True)]
 
 
+def test_broadcast_only_under_the_threshold(spark, folder):
+    spark.range(5_000).write.parquet(f"{folder}/ids")
+    df = spark.read.parquet(f"{folder}/ids")
+    size = keys.source_bytes(df)
+    hinted = lambda: "broadcast" in keys.small_side(df)._jdf.queryExecution().analyzed().toString().lower()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        for limit, expected in ((str(size * keys.UNPACKED), True), (str(size * keys.UNPACKED - 1), False), ("-1", False), ("1m", True)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert hinted() == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 VERSION = "id string, name string, effective_date date, end_date date"
 
 
