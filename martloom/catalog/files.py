@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from martloom.catalog.oracle import star
 from martloom.catalog.registry import query
 from martloom.functions import variants
+from martloom.operators.keys import pieces
 from martloom.session import materialise, scratch_path
 from martloom.sources import external, feed, files, loading, sinks
 
@@ -348,7 +349,8 @@ def _(s):
 def _marked_sales(s, files_out=4):
     from martloom.schemas import RAW_SALES
 
-    raw = _raw_sales(s).repartitionByRange(files_out, "order_id", "order_line_id", "product_id")
+    raw = _raw_sales(s)
+    raw = raw.repartitionByRange(pieces(raw, files_out), "order_id", "order_line_id", "product_id")
     path = _written(s, raw, "copy-sales")
     return loading.clean_sales(files.read_delimited(s.spark, path, RAW_SALES, load_time=_NOW))
 

@@ -38,6 +38,25 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size is not None and size * UNPACKED <= limit else df
 
 
+#: Bytes of source files for a task that holds or writes all of its rows.
+PIECE = 8 << 20
+
+
+def pieces(df: DataFrame, least: int = 1) -> int:
+    """Parts in which ``df`` is dealt out so that a part keeps its size as the tables grow; ``least`` if Spark does not say."""
+    size = source_bytes(df)
+    return max(least, -(-size // PIECE)) if size is not None and size < 1 << 60 else least
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt out by ``columns`` in parts of even source size, whatever the session's number of shuffle partitions.
+
+    A grouping by these and further columns finds its rows there and needs no shuffle of its own.
+    """
+    parts = pieces(df)
+    return df.repartition(parts, *columns) if parts > 1 else df
+
+
 def lookup(fact: DataFrame, dimension: DataFrame, on: Column | str | list[str], columns: Sequence[str],
            condition: str | None = None) -> DataFrame:
     """Left lookup of ``columns``; ``condition`` restricts the dimension before the join."""
