@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martloom.operators.keys import pieces
+
 COMMITS = "_commits"
 COMMIT_SCHEMA = "version bigint, committed_at timestamp_ntz, path string, row_count bigint"
 
@@ -85,10 +87,18 @@ def refresh_copies(spark: SparkSession, bases: dict[str, str], at: dt.datetime)
     return {source: copy_as_of(spark, source, target, at) for source, target in bases.items()}
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None,
                     partition_by: Sequence[str] = ()) -> None:
-    """Range-partitions and sorts by the leading filter columns, so row groups prune well."""
-    ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
+    """Range-partitions and sorts by the leading filter columns, so row groups prune well.
+
+    ``files`` are written at least, and more of a large table, so that a task sorts no more as the table grows.
+    """
+    parts = pieces(df, files or 1)
+    ranged = df.repartitionByRange(parts, *columns) if files or parts > _shuffle_partitions(df) else df.repartitionByRange(*columns)
     writer = ranged.sortWithinPartitions(*columns).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
