@@ -60,7 +60,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
                     columns.append(pa.array(own, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return in_arrow(docs.select(F.col(key), F.col(text).alias("_text")), cut, T.StructType(fields))
+    return in_arrow(docs.select(F.col(key), F.col(text).alias("_text")), cut, T.StructType(fields), keeps=True)
 
 
 def fullest(counts: dict[int, int], lengths: list[int], room: int) -> dict[int, int]:

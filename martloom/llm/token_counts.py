@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.bpe import Transducer
-from martloom.llm.shipping import in_arrow
+from martloom.llm.shipping import in_arrow, kept
 
 #: Characters of a chunk, and characters that are held at once.
 CHUNK, HELD = 512, 400_000
@@ -20,7 +19,7 @@ SPACE = "▁"
 CELLS = 34_000_000
 
 
-@functools.lru_cache(maxsize=2)
+@kept(2)
 def compiled(model: str) -> tuple[Transducer, np.ndarray]:
     """The transducer of a sentencepiece pair-merge model with bytes for unknown characters, and the symbol of every
     code point. The model's pieces and scores are read with its own library; texts do not pass through that."""
@@ -119,4 +118,4 @@ def token_counts(docs: DataFrame, model: str, text: str = "text", out: str = "n_
             column = pa.array(np.concatenate(counted) if counted else np.zeros(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], column], [*keep, out])
 
-    return in_arrow(docs.select(*[F.col(f"`{c}`") for c in given]), add, schema)
+    return in_arrow(docs.select(*[F.col(f"`{c}`") for c in given]), add, schema, keeps=True)

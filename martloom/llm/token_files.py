@@ -79,7 +79,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END
         if held:
             yield closed()
 
-    in_arrow(ranged, shards, schema).write.parquet(path)
+    in_arrow(ranged, shards, schema, keeps=True).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import functools
 import json
 
 import numpy as np
 
 from martloom.llm.bpe import NONE, Transducer
+from martloom.llm.shipping import kept
 
 #: Symbols of a lane at least, unless the batch is smaller.
 LANE = 256
@@ -23,7 +23,7 @@ def _byte_chars() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-@functools.lru_cache(maxsize=2)
+@kept(2)
 def compiled(path: str):
     """The library's tokenizer, the transducer over bytes (256 more at a word's end), and the classes and lower case of
     the code points whose treatment needs no library: Latin letters, ASCII, common punctuation."""
