@@ -3,7 +3,8 @@
 After every symbol of a word the tokenization of what has been read so far ends in one definite token. A token may follow
 another only if merging the two alone gives them back, so that end token follows from the end tokens at the places where
 a token could have begun. A state holds those places: for each, the path in the trie of tokens since then, the token that
-ends there, and how many tokens came after it. Reading a symbol moves every path on and adds to the token count; the
+ends there, and how many tokens came after it. Paths on which no token can follow any more are left out, and of end tokens
+after which the same tokens can follow, one stands for all. Reading a symbol moves every path on and adds to the token count; the
 transition is annotated with that addition and with the token that now ends the word. States are numbered when first
 reached and kept in tables, so many stretches of text can be run side by side, one symbol of each at a time.
 """
@@ -17,8 +18,11 @@ import numpy as np
 NONE = -1
 #: Cells of the tables before they are begun anew: 5 bytes each, 6 where they keep tokens.
 MOST_CELLS = 12_000_000
-#: Pairs of tokens of which it is remembered whether one may follow the other.
+#: Pairs of tokens, of parts, or of a place and a token of which an answer is remembered.
 MOST_PAIRS = 200_000
+#: Tokens below a place at most, where it is asked which of them may still follow.
+FEW = 3
+INF = float("inf")
 
 
 class Transducer:
@@ -38,7 +42,13 @@ class Transducer:
         self.parts: dict[int, tuple[int, ...]] = {}
         self.follows: set[tuple[int, int]] = set()
         self.inner: set[int] = set()
-        self._whole: dict[int, bool] = {}
+        self._made: dict[int, tuple] = {}
+        self._number: dict[tuple[int, ...], int] = {}
+        self._named: list[tuple[int, ...]] = []
+        self._ranks: dict[int, float] = {}
+        self._below: dict[int, tuple[int, ...] | None] = {}
+        self._alike: dict[int, int | None] = {}
+        self._first: dict[tuple[int, tuple[int, ...]], int] = {}
         for part, number in tokens.items():
             node = 0
             for s in part:
@@ -55,7 +65,8 @@ class Transducer:
         self.lengths = np.ones(max(self.parts) + 1, np.int32)
         for number, part in self.parts.items():
             self.lengths[number] = len(part)
-        self._fit: dict[tuple[int, int], bool] = {}
+        self._size = max(self.parts) + 2
+        self._fit: dict[int, bool] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -83,6 +94,9 @@ class Transducer:
             rows = min(len(self.keys), len(was))
             new[:rows, :was.shape[1]] = was[:rows]
 
+    def _flat(self) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        return self.next.shape[1], self.next.reshape(-1), self.last.reshape(-1), self.gain.reshape(-1)
+
     def state(self, key: tuple) -> int:
         number = self.numbers.get(key)
         if number is None:
@@ -125,21 +139,110 @@ class Transducer:
             _, i = min(ranks)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
 
+    def _named_part(self, part: tuple[int, ...]) -> int:
+        number = self._number.get(part)
+        if number is None:
+            number = self._number[part] = len(self._named)
+            self._named.append(part)
+        return number
+
+    def made(self, token: int) -> tuple[bool, list[float], list[int], list[int]]:
+        """How merging makes a token: whether it does, the rank of each merge, and the first and the last part before
+        each merge and at the end. Infinity ends the ranks."""
+        found = self._made.get(token)
+        if found is None:
+            parts = [(s,) for s in self.parts[token]]
+            made, firsts, lasts = [], [self._named_part(parts[0])], [self._named_part(parts[-1])]
+            while True:
+                ranks = [(r, i) for i in range(len(parts) - 1) if (r := self.rank(parts[i], parts[i + 1])) is not None]
+                if not ranks:
+                    break
+                r, i = min(ranks)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                made.append(r)
+                firsts.append(self._named_part(parts[0]))
+                lasts.append(self._named_part(parts[-1]))
+            found = self._made[token] = (len(parts) == 1, [*made, INF], firsts, lasts)
+        return found
+
+    def _rank(self, left: int, right: int) -> float:
+        key = left << 32 | right
+        rank = self._ranks.get(key)
+        if rank is None:
+            if len(self._ranks) >= MOST_PAIRS:
+                self._ranks.clear()
+            rank = self.rank(self._named[left], self._named[right])
+            rank = self._ranks[key] = INF if rank is None else rank
+        return rank
+
+    def apart(self, before: int, after: int) -> bool:
+        """Whether merging two tokens side by side gives them back.
+
+        As long as nothing merges over their border, each is merged as if alone; so their known merges are followed in
+        the common order until the parts at the border would be first.
+        """
+        _, left, _, lasts = self.made(before)
+        _, right, firsts, _ = self.made(after)
+        i = j = 0
+        x, y = lasts[0], firsts[0]
+        across = self._rank(x, y)
+        while True:
+            a, b = left[i], right[j]
+            if across < a and across <= b:
+                return False
+            if a <= b:
+                if a == INF:
+                    return True
+                i += 1
+                if lasts[i] != x:
+                    x = lasts[i]
+                    across = self._rank(x, y)
+            else:
+                j += 1
+                if firsts[j] != y:
+                    y = firsts[j]
+                    across = self._rank(x, y)
+
     def fits(self, before: int, after: int) -> bool:
         """Whether ``after`` can follow ``before`` in a tokenization."""
-        if after not in self._whole:
-            self._whole[after] = len(self.merged(self.parts[after])) == 1
-        if not self._whole[after] or before == NONE:
-            return self._whole[after]
-        known = self._fit.get((before, after))
+        if before == NONE:
+            return self.made(after)[0]
+        key = before * self._size + after
+        known = self._fit.get(key)
         if known is None:
             if len(self._fit) >= MOST_PAIRS:
                 self._fit.clear()
-            a, b = self.parts[before], self.parts[after]
-            known = (a[-1], b[0]) not in self.follows or self.merged(a + b) == [a, b]
-            self._fit[before, after] = known
+            known = self.made(after)[0] and (
+                (self.parts[before][-1], self.parts[after][0]) not in self.follows or self.apart(before, after))
+            self._fit[key] = known
         return known
 
+    def below(self, node: int) -> tuple[int, ...] | None:
+        """The tokens that go on from a place in the trie, None if they are many."""
+        if node not in self._below:
+            found, todo = [], list(self.children[node].values())
+            while todo and len(found) <= FEW:
+                child = todo.pop()
+                if self.ends[child] != NONE:
+                    found.append(self.ends[child])
+                todo += self.children[child].values()
+            self._below[node] = tuple(found) if len(found) <= FEW else None
+        return self._below[node]
+
+    def alike(self, node: int, before: int) -> int | None:
+        """A token that stands for ``before`` on a path at ``node``: the same tokens can still follow. None if none can."""
+        tokens = self.below(node)
+        if tokens is None:
+            return before
+        key = node * self._size + before + 1
+        if key not in self._alike:
+            if len(self._alike) >= MOST_PAIRS:
+                self._alike.clear()
+                self._first.clear()
+            fit = tuple([t for t in tokens if self.fits(before, t)])
+            self._alike[key] = self._first.setdefault((node, fit), before) if fit else None
+        return self._alike[key]
+
     def step(self, state: int, column: int) -> None:
         """Adds a transition to the tables."""
         symbol = self.symbol[column]
@@ -161,11 +264,12 @@ class Transducer:
                 continue
             if found is None and self.ends[child] != NONE and self.fits(before, self.ends[child]):
                 found = (self.ends[child], 1 - since)
-            if self.children[child]:
-                paths.append((child, before, since))
+            if self.children[child] and (same := self.alike(child, before)) is not None:
+                paths.append((child, same, since))
         if found is None:
             raise ValueError(f"no token ends with symbol {symbol}")
         token, gain = found
+        gain = 0 if self.with_tokens else gain
         end = token if self.parts[token][-1] in self.inner else NONE
         new = ((0, end, 0), *((c, b, s + gain) for c, b, s in paths)) if end != NONE else ((0, NONE, 0),)
         number = self.state(new)
@@ -188,29 +292,37 @@ class Transducer:
             states = np.zeros(len(starts), np.int32)
         columns = self.compact(stream)
         order = np.argsort(starts - ends, kind="stable")
-        starts, lengths, own = starts[order], (ends - starts)[order], states[order]
+        starts, lengths, own = starts[order], (ends - starts)[order], states[order].astype(np.int64)
         counts = np.zeros(len(starts), np.int64)
         steps = int(lengths[0]) if len(lengths) else 0
         live = np.searchsorted(-lengths, -np.arange(steps), side="left")
+        width, cells, tokens, gains = self._flat()
         for i in range(steps):
             k = live[i]
             at = starts[:k] + i
-            cell = own[:k].astype(np.int64) * self.next.shape[1] + columns[at]
-            new = self.next.ravel()[cell]
-            if not new.all():
-                missing = np.unique(own[:k][new == 0].astype(np.int64) << 32 | columns[at][new == 0])
-                if fresh and (len(self.keys) + len(missing)) * self.next.shape[1] > self.most_cells:
-                    own = self.renewed(own)
-                    cell = own[:k].astype(np.int64) * self.next.shape[1] + columns[at]
-                    missing = np.unique(own[:k].astype(np.int64) << 32 | columns[at])
-                for pair in missing.tolist():
+            column = columns.take(at)
+            cell = own[:k] * width + column
+            new = cells.take(cell)
+            holes = np.flatnonzero(new == 0)
+            if len(holes):
+                table = self.next
+                missing = set((own.take(holes) << 32 | column.take(holes)).tolist())
+                if fresh and (len(self.keys) + len(missing)) * width > self.most_cells:
+                    own = self.renewed(own).astype(np.int64)
+                    missing = set((own[:k] << 32 | column).tolist())
+                for pair in missing:
                     self.step(pair >> 32, pair & 0xFFFFFFFF)
-                new = self.next.ravel()[cell]
+                if self.next is table:
+                    new[holes] = cells.take(cell.take(holes))
+                else:
+                    width, cells, tokens, gains = self._flat()
+                    cell = own[:k] * width + column
+                    new = cells.take(cell)
             if not self.with_tokens:
-                counts[:k] += self.gain.ravel()[cell]
+                counts[:k] += gains.take(cell)
             if last is not None:
-                last[at] = self.last.ravel()[cell]
-            own[:k] = new - 1
+                last[at] = tokens.take(cell)
+            np.subtract(new, 1, out=own[:k])
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
-        return own[back], counts[back]
+        return own[back].astype(np.int32), counts[back]

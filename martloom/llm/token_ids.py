@@ -10,7 +10,7 @@ from martloom.llm.bpe import NONE, Transducer
 from martloom.llm.shipping import kept
 
 #: Symbols of a lane at least, unless the batch is smaller.
-LANE = 256
+LANE = 128
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 # The endings that the tokenizer's own pattern splits from a word.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -90,7 +90,7 @@ def encode(texts: list[str | None], path: str, special: str = "<|") -> tuple[np.
     own, given = [], {}
     lengths = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
     points = np.frombuffer("\n".join(t or "" for t in texts).encode("utf-32-le"), np.uint32)
-    kinds = kind[points]
+    kinds = kind.take(points)
     starts = np.cumsum(lengths + 1) - lengths - 1
     strange = np.zeros(len(texts), bool)
     odd = np.flatnonzero(kinds == UNKNOWN)
@@ -105,7 +105,7 @@ def encode(texts: list[str | None], path: str, special: str = "<|") -> tuple[np.
     if own:
         if len(own) < len(texts):  # strange and empty texts leave no gap
             points = np.frombuffer("\n".join(texts[i] for i in own).encode("utf-32-le"), np.uint32)
-            kinds = kind[points]
+            kinds = kind.take(points)
         small = points < len(lower)
         points = np.where(small, lower[np.where(small, points, 0)], points)
         ids, at = _encode_plain(points, kinds, machine)
@@ -156,8 +156,8 @@ def _encode_plain(points: np.ndarray, kinds: np.ndarray, machine: Transducer) ->
     at, low = word_ends - 1, word_starts_
     while len(at):
         ends_token[at] = True
-        at = at - machine.lengths[tokens[at]]
-        more = at >= low
-        at, low = at[more], low[more]
+        at = at - machine.lengths.take(tokens.take(at))
+        more = np.flatnonzero(at >= low)
+        at, low = at.take(more), low.take(more)
     where = np.flatnonzero(ends_token)
-    return tokens[where].astype(np.uint32), inside[np.searchsorted(end, where, "right")]
+    return tokens.take(where).astype(np.uint32), np.repeat(inside, wide).take(where)

@@ -177,3 +177,55 @@ def test_empty_texts_among_plain_ones_keep_ids_apart():
     ends = np.cumsum(counts)
     assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == [
         library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def random_machine(rng, symbols=3, ties=False, **options):
+    """Tokens made by merging two others, in order or with equal and falling ranks."""
+    tokens, order = {(s,): s for s in range(symbols)}, {}
+    while len(tokens) < 40:
+        a, b = (rng.choice(list(tokens)) for _ in range(2))
+        if a + b not in tokens and len(a + b) < 9:
+            order[a, b] = rng.randrange(9) if ties else len(order)
+            tokens[a + b] = len(tokens)
+    return Transducer(tokens, lambda a, b: order.get((a, b)), symbols, **options)
+
+
+def test_tokens_side_by_side_fit_if_merging_keeps_them():
+    rng = random.Random(11)
+    for ties in (False, True):
+        for _ in range(15):
+            machine = random_machine(rng, ties=ties)
+            whole = [t for t, part in machine.parts.items() if machine.merged(part) == [part]]
+            for a in whole:
+                for b in machine.parts:
+                    pair = [machine.parts[a], machine.parts[b]]
+                    assert machine.fits(a, b) == (b in whole and machine.merged(pair[0] + pair[1]) == pair), pair
+
+
+def test_last_tokens_of_random_machines_follow_merges(monkeypatch):
+    rng = random.Random(12)
+    for few in (0, 3, 100):
+        monkeypatch.setattr("martloom.llm.bpe.FEW", few)
+        for _ in range(10):
+            machine = random_machine(rng, with_tokens=True)
+            counting = Transducer({p: t for t, p in machine.parts.items()}, machine.rank, 3)
+            for _ in range(30):
+                run = [rng.randrange(3) for _ in range(rng.randrange(1, 30))]
+                last, ends = np.zeros(len(run), np.int32), (np.array([0]), np.array([len(run)]))
+                machine.run(np.array(run, np.int32), *ends, last=last)
+                found, at = [], len(run)
+                while at:
+                    found.insert(0, machine.parts[int(last[at - 1])])
+                    at -= len(found[0])
+                assert found == machine.merged(run), run
+                assert counting.run(np.array(run, np.int32), *ends)[1][0] == len(found)
+
+
+def test_new_words_make_few_states():
+    rng = random.Random(13)
+    parts = ["ré", "tion", "le", "ment", "ai", "ou", "ç", "èr", "es", "qu", "an", "st"]
+    text = " ".join("".join(rng.choices(parts, k=rng.randrange(2, 6))) for _ in range(20_000))
+    token_ids.compiled.cache_clear()
+    _, machine, _, _ = token_ids.compiled(WORDS)
+    token_ids.encode([text], WORDS)
+    assert len(machine.keys) < 2_500
