@@ -62,3 +62,18 @@ def test_work_without_use_for_kept_results_sheds_them(spark):
     shipping.shed()
     assert table.cache_info().currsize == 0 and len(table(10)) == 10
     shipping._kept.remove(table)
+
+
+def test_row_numbers_do_not_shuffle_the_rows(spark, folder):
+    from martloom.sources import files
+
+    spark.range(5000).selectExpr("concat('row ', id) AS a").repartition(3).write.option("header", "true").csv(f"{folder}/raw")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = files.read_delimited(spark, f"{folder}/raw", "a string")
+        assert "SortMergeJoin" not in read._jdf.queryExecution().executedPlan().toString()
+        places = read.groupBy("_source_file").agg(F.count("*").alias("n"), F.sum("_file_row_number").alias("s")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(places) == 3 and sum(r["n"] for r in places) == 5000 and all(r["s"] == r["n"] * (r["n"] + 1) // 2 for r in places)
