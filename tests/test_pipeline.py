@@ -214,3 +214,54 @@ def test_stock_counts_and_rejected_events(spark, folder):
     pipeline.run_batch(spark, layers, 2, days, dt.datetime(2024, 1, 21, 6))
     stored = sinks.get_batch(spark, layers.curated("fact_inventory"))
     assert {(r["inventory_id"], r["month"]) for r in stored.collect()} == {("I1", 202401), ("I2", 202402), ("I3", 202401)}
+
+
+def test_a_run_leaves_no_shuffle_files_and_nothing_that_no_step_reads(spark, folder):
+    import time
+    from pathlib import Path
+
+    import duckdb
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name.split("_")[1] for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    scratch = lambda: set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("*/*"))
+    layers = pipeline.Layers(folder)
+    days = calendar.dim_date(spark, *DAYS, as_of=dt.date(2024, 1, 20))
+    before, held = shuffled(), scratch()
+    for batch in (1, 2):
+        _land_dimensions(layers)
+        _write(layers.landing(f"sales/{batch}.csv"), [",".join(_names(RAW_SALES)), *[
+            _sale(f"O{i}", 1, "C1", batch, 10.0, 0, f"2024-01-{i:02}") for i in range(batch, batch + 9)]])
+        assert pipeline.run_batch(spark, layers, batch, days, dt.datetime(2024, 1, 20, 6))["sales"] == 9
+    assert sinks.get_batch(spark, layers.curated("fact_sales")).agg(F.sum("quantity")).first()[0] == 19
+    assert scratch() == held
+    until = time.time() + 20
+    # A stage that its query did not wait for may end after it.
+    while len(shuffled() - before) > 3 and time.time() < until:
+        time.sleep(0.1)
+    assert len(shuffled() - before) <= 3
+    for table in (layers.curated("fact_sales"), layers.analytics("agg_daily_sales"), f"{layers.staging('sales')}/batch=1"):
+        codecs = duckdb.sql(f"SELECT DISTINCT compression FROM parquet_metadata('{table}/**/*.parquet')").fetchall()
+        assert codecs == [("ZSTD",)]
+
+
+def test_landed_sales_are_zipped_and_numbered(spark):
+    from martloom.catalog import batch
+    from martloom.plans.star import Star
+    from martloom.session import scratch_path
+    from martloom.sources import files
+
+    s = Star(spark, "/root/testdata/sf0.001")
+    layers = pipeline.Layers(scratch_path(spark, "landed"))
+    lines = batch._lines(s)
+    batch._land_sales(s, layers, lines)
+    assert all(name.endswith(".csv.gz") for name in os.listdir(layers.landing("sales").removeprefix("file:"))
+               if name.startswith("part-"))
+    read = files.read_delimited(spark, layers.landing("sales"), RAW_SALES)
+    names = _names(RAW_SALES)
+    sent = lines.select(*[F.col(c).cast("string") for c in names])
+    assert sorted(map(str, read.select(*names).collect())) == sorted(map(str, sent.collect()))
+    places = read.groupBy("_source_file").agg(F.count("*").alias("n"), F.sum("_file_row_number").alias("s"))
+    assert all(r["s"] == r["n"] * (r["n"] + 1) // 2 for r in places.collect())
